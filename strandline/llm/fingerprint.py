@@ -66,12 +66,17 @@ def signature(hashes: Column) -> Column:
 
 
 def packed(sig: Column) -> Column:
-    """The LOW low-order bits of each bin, A_WORD bins a long: 16 longs, or null."""
+    """LOW low-order bits of each bin, A_WORD bins a long: 16 longs, or null.
 
-    def word(k: Column) -> Column:
-        return F.aggregate(F.slice(sig, k * A_WORD + 1, A_WORD), F.lit(0).cast("long"), lambda acc, x: F.shiftleft(acc, LOW).bitwiseOR(x.bitwiseAND(F.lit((1 << LOW) - 1))))
+    The bits are those of the value hashed with its bin, so that a value which fills many bins of a short text does not make
+    them all equal to another text's by one chance.
+    """
+    low = F.transform(sig, lambda x, i: F.xxhash64(x, i).bitwiseAND(F.lit((1 << LOW) - 1)))
+
+    def words(bits: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(BINS // A_WORD - 1)), lambda k: F.aggregate(F.slice(bits, k * A_WORD + 1, A_WORD), F.lit(0).cast("long"), lambda acc, x: F.shiftleft(acc, LOW).bitwiseOR(x)))
 
-    return F.when(sig.isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(BINS // A_WORD - 1)), word))
+    return F.when(sig.isNotNull(), let(low, words))
 
 
 def fingerprint(text: Column, width: int = 5) -> Column:
