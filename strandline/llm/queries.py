@@ -2,17 +2,38 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import fingerprint, line_dedup, sharding, simhash
+from strandline.llm import decontaminate, fingerprint, language_id, license_scan, line_dedup, sentencepieces, sharding, simhash
 from strandline.llm.common import documents
 
+#: The model file of SentencePiece queries.
+MODEL = os.environ.get("STRANDLINE_SENTENCEPIECE", "/opt/tokenizers/piece_bpe_32k.model")
+
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_with_edits(documents(spark, sf_dir))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contamination(documents(spark, sf_dir), benchmark, seed=5, coverage=0.5)
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op4_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = sentencepieces.read_model(MODEL)
+    rows = sentencepieces.decode(sentencepieces.encode(documents(spark, sf_dir), model), model)
+    return rows.select("doc_id", "n_tokens", "ids_sha256", (F.sha2(F.col("text").cast("binary"), 256) == F.coalesce("text_sha256", F.sha2(F.lit("").cast("binary"), 256))).alias("round_trip"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents(spark, sf_dir), shards=8)
 
@@ -22,6 +43,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), limit=4, width=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -29,8 +54,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_licenses": op3_licenses,
+    "op4_sentencepieces": op4_sentencepieces,
     "op5_sharding": op5_sharding,
     "op6_line_dedup": op6_line_dedup,
+    "op7_language": op7_language,
     "op9_simhash": op9_simhash,
 }
 
