@@ -7,12 +7,15 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import decontaminate, fingerprint, language_id, license_scan, line_dedup, sentencepieces, sharding, simhash
+from strandline.llm import decontaminate, fingerprint, language_id, license_scan, line_dedup, pii, sentencepieces, sharding, simhash, substring_dedup
 from strandline.llm.common import documents
 
 #: The model file of SentencePiece queries.
 MODEL = os.environ.get("STRANDLINE_SENTENCEPIECE", "/opt/tokenizers/piece_bpe_32k.model")
 
+#: The key of pseudonyms; a real run takes a secret one from its environment.
+KEY = os.environ.get("STRANDLINE_PII_KEY", "not a secret").encode()
+
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_with_edits(documents(spark, sf_dir))
@@ -47,11 +50,19 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats(documents(spark, sf_dir))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), limit=4, width=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(documents(spark, sf_dir), KEY)
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_decontaminate": op2_decontaminate,
@@ -60,7 +71,9 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_line_dedup": op6_line_dedup,
     "op7_language": op7_language,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
+    "op10_pseudonyms": op10_pseudonyms,
 }
 
 ORACLE_SQL = {
