@@ -139,3 +139,15 @@ def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     return docs.select("doc_id", "text", held_out.alias("held_out")).mapInArrow(run, "doc_id long, text string, held_out boolean, lang_pred string, score double, rejected boolean")
+
+
+def accepted(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """The rows of docs, with all their columns, whose language is not rejected."""
+    model = model or fit(training_sample(docs))
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([not model.predict(x.as_py())[2] for x in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -84,8 +84,8 @@ class LineRuns:
         return self.merged([name for level in self.levels for name in level])
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 3) -> DataFrame:
-    """(doc_id, text, n_lines, n_dropped): every text without the long lines that many documents share.
+def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, *carry, text, n_lines, n_dropped): every text without the long lines that many documents share.
 
     A line's key is the line without blanks at its ends, A-Z in lower case. Keys of at least ``min_chars`` code points that
     ``min_docs`` rows hold lose all their lines but those of the largest doc_id with the key. The batches are ranges of
@@ -93,11 +93,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
 
     A null or empty text is one empty line, and comes out empty. Rows count as documents even if their doc_id repeats; a
     repeated doc_id is one keeper, so each of its rows keeps the line. A null doc_id counts as less than all others, and if
-    only such rows hold a key, they all keep it. An empty table gives an empty result; other columns are ignored. Line hashes
+    only such rows hold a key, they all keep it. An empty table gives an empty result; columns other than ``carry`` are ignored. Line hashes
     are aggregated before they are shuffled, text moves once, and what joins on a frequent line has one row on the other side.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", *carry, "text")
     lo, hi = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
     width = 1 if lo is None else (hi - lo) // batches + 1
     keys = F.array_distinct(F.transform(F.filter(F.transform(F.filter(lines_of(F.col("text")), lambda x: F.length(x) >= min_chars), line_key), lambda x: F.length(x) >= min_chars), key_hash))
@@ -116,6 +116,6 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     lines = lines_of(F.col("text"))
     stays = lambda line: (F.length(line) < min_chars) | ~F.array_contains(F.col("lost"), key_hash(line_key(line)))
     kept = docs.join(lost.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    return kept.select("doc_id", F.when(F.col("lost").isNull(), lines).otherwise(F.filter(lines, stays)).alias("_kept"), F.size(lines).alias("n")).select(
-        "doc_id", F.array_join("_kept", "\n").alias("text"), F.col("n").cast("long").alias("n_lines"), (F.col("n") - F.size("_kept")).cast("long").alias("n_dropped")
+    return kept.select("doc_id", *carry, F.when(F.col("lost").isNull(), lines).otherwise(F.filter(lines, stays)).alias("_kept"), F.size(lines).alias("n")).select(
+        "doc_id", *carry, F.array_join("_kept", "\n").alias("text"), F.col("n").cast("long").alias("n_lines"), (F.col("n") - F.size("_kept")).cast("long").alias("n_dropped")
     )

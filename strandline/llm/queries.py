@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from strandline.llm import decontaminate, fingerprint, language_id, license_scan, line_dedup, pii, sentencepieces, sharding, simhash, substring_dedup
-from strandline.llm.common import documents
-
-#: The model file of SentencePiece queries.
-MODEL = os.environ.get("STRANDLINE_SENTENCEPIECE", "/opt/tokenizers/piece_bpe_32k.model")
-
-#: The key of pseudonyms; a real run takes a secret one from its environment.
-KEY = os.environ.get("STRANDLINE_PII_KEY", "not a secret").encode()
+from strandline.llm.common import KEY, MODEL, documents
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +67,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
     "op10_pseudonyms": op10_pseudonyms,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {

@@ -187,3 +187,18 @@ def near_duplicates(docs: DataFrame, limit: int = 4, width: int = 4) -> DataFram
     """
     fps = written(fingerprints(docs, width), "fingerprints")
     return fps.join(near_components(fps, limit), "fp", "left").select("doc_id", "fp", "component_id")
+
+
+def deduplicated(docs: DataFrame, limit: int = 4, width: int = 4) -> DataFrame:
+    """One row of each group of near duplicates, with all its columns: the one of the smallest doc_id.
+
+    Of rows that share a doc_id one stays, the smallest by text. Rows without a doc_id cannot be told apart and stay.
+    """
+    found = written(near_duplicates(docs, limit, width), "near-duplicates")
+    lost = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
+    again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    one = kept.join(again, "doc_id", "left_semi").select(*docs.columns).withColumn("_row", F.expr("row_number() over (partition by doc_id order by text)")).where("_row = 1").drop("_row")
+    return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
