@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from strandline.plans import mosaics
+
+PARTS = (mosaics,)
+QUERIES = {name: query for part in PARTS for name, query in part.QUERIES.items()}
+ORACLE_SQL = {name: sql for part in PARTS for name, sql in part.ORACLE_SQL.items()}
