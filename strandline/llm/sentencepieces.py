@@ -13,11 +13,14 @@ state at every cut is read off, and each chunk is then traced back by itself.
 
 from __future__ import annotations
 
+import array
 import hashlib
+import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -32,6 +35,8 @@ SPACE = "▁"
 CHUNK = 16_384
 #: Stretches whose pieces a task holds, and as many older ones.
 HELD = 250_000
+#: Pairs of pieces of which a task knows whether they fit.
+LINKS = 1_000_000
 NEVER = float("-inf")
 
 
@@ -108,11 +113,16 @@ def load(model: bytes) -> Spec:
     if not all(sp.is_byte(i) for i in byte_ids):
         byte_ids = []
     inside = {c for piece in ids if len(piece) > 1 for c in piece}
-    alone = re.escape("".join(c for c in map(chr, range(128)) if c not in inside))
+    alone = {c for c in map(chr, range(128)) if c not in inside}
     if any(SPACE in piece.lstrip(SPACE) for piece in ids):
         cut = r"(?s:.+)"
     else:
-        cut = f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+|[{alone}]"
+        # signs that no piece has after a letter (or any other character that is no ASCII sign): a stretch ends before them
+        signs = {c for c in map(chr, range(33, 127)) if not c.isalnum()} - alone
+        after = {b for piece in ids for a, b in itertools.pairwise(piece) if a not in signs and a != SPACE}
+        a, s, q = (re.escape("".join(sorted(x))) for x in (alone, signs, signs & after))
+        more = f"(?:[{q}][{s}]*[^{SPACE}{a}{s}]*)*" if q else ""
+        cut = f"(?:{SPACE}+[{s}]*|[{s}]+)[^{SPACE}{a}{s}]*{more}|[^{SPACE}{a}{s}]+{more}|[{a}]" if s else f"{SPACE}+[^{SPACE}{a}]*|[^{SPACE}{a}]+|[{a}]"
     return Spec(kind, ids, rank, parts, byte_ids, sp.unk_id(), max(map(len, ids)), cut)
 
 
@@ -124,13 +134,37 @@ class Arc(NamedTuple):
     id: int
 
 
+class Links(dict):
+    """Whether two pieces fit, worked out when first asked for."""
+
+    def __init__(self, fits: Callable[[int, int], bool]) -> None:
+        self.fits = fits
+
+    def __missing__(self, pair: tuple[int, int]) -> bool:
+        found = self[pair] = self.fits(*pair)
+        return found
+
+
+class Held(dict):
+    """Values of a function by its argument, of the last arguments asked for: HELD, and up to as many before them."""
+
+    def __init__(self, make: Callable[[str], bytes]) -> None:
+        self.make, self.aged = make, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= HELD:
+            self.aged = dict(self)
+            self.clear()
+        value = self[word] = self.aged.pop(word, None) or self.make(word)
+        return value
+
+
 class Encoder:
     def __init__(self, spec: Spec) -> None:
         self.spec = spec
         self.cut = re.compile(spec.cut)
-        self.held: dict[str, list[int]] = {}
-        self.aged: dict[str, list[int]] = {}
-        self.links: dict[tuple[int, int], bool] = {}
+        self.held = Held(lambda word: array.array("i", self.one_path(word)).tobytes())
+        self.links = Links(self._fits)
         self.bpe = spec.kind == "bpe"
         #: The pieces that an encoding can have, and by the first two characters of a longer piece the lengths there are.
         self.ids = {piece: i for piece, i in spec.ids.items() if not self.bpe or len(piece) == 1 or i in spec.parts}
@@ -139,11 +173,10 @@ class Encoder:
             if len(piece) > 1:
                 sizes.setdefault(piece[:2], set()).add(len(piece))
         self.sizes = {c: sorted(s) for c, s in sizes.items()}
-        tails: dict[str, set[int]] = {}
-        for piece in self.ids:
-            if len(piece) > 2:
-                tails.setdefault(piece[:3], set()).add(len(piece))
-        self.tails = {c: sorted(s) for c, s in tails.items()}
+        self.matches = ahocorasick.Automaton()
+        for piece, i in self.ids.items():
+            self.matches.add_word(piece, (i, len(piece)))
+        self.matches.make_automaton()
         self.names = {i: piece for piece, i in spec.ids.items()}
         self.unknown = max(spec.rank.values(), default=0.0) + 10.0
 
@@ -161,10 +194,7 @@ class Encoder:
         """BPE: whether a then b is how their joined text is encoded. Undoes both pieces' merges, the latest first."""
         if a < 0 or b < 0:
             return True
-        known = self.links.get((a, b))
-        if known is None:
-            known = self.links[a, b] = self._fits(a, b)
-        return known
+        return self.links[a, b]
 
     def _fits(self, a: int, b: int) -> bool:
         rank, parts, ids = self.spec.rank, self.spec.parts, self.spec.ids
@@ -221,66 +251,43 @@ class Encoder:
 
     def stretch(self, word: str) -> list[int]:
         """Ids of a stretch between borders."""
-        found = self.held.get(word)
-        if found is None:
-            found = self.aged.pop(word, None) or self.one_path(word)
-            if len(self.held) >= HELD:
-                self.aged, self.held = self.held, {}
-            if len(self.links) >= 4 * HELD:
-                self.links.clear()
-            self.held[word] = found
-        return found
+        return np.frombuffer(self.held[word], "<i4").tolist()
 
     def one_path(self, word: str) -> list[int]:
         """The best path from border to border.
 
-        For BPE there is just one of weight 0, so it is searched depth first, long pieces before short ones; a state from
-        which the end was not reached is not entered again.
+        For BPE just one path of weight 0 leads from a border to each place, so a place needs one state; the automaton yields
+        the pieces by where they end.
         """
         n = len(word)
-        if not self.bpe:
-            return self.trace(word, self.paths(word, 0, None, n), n, None, 0)
-        ids, tails, links = self.ids, self.tails, self.links
-        path, open_, dead = [], [], set()
-        p, last = 0, -1
-        while True:
-            ways = [(p + 1, ids.get(word[p], -1))]
-            b = ids.get(word[p : p + 2])
-            if b is not None and p + 2 <= n:
-                ways.append((p + 2, b))
-            for size in tails.get(word[p : p + 3], ()):
-                if p + size > n:
-                    break
-                b = ids.get(word[p : p + size])
-                if b is not None:
-                    ways.append((p + size, b))
-            while True:
-                while ways:
-                    to, b = ways.pop()
-                    if (last < 0 or b < 0 or (links[last, b] if (last, b) in links else self.fits(last, b))) and (to, b) not in dead:
-                        break
-                else:
-                    dead.add((p, last))
-                    p, last, ways = open_.pop()
-                    path.pop()
-                    continue
-                break
-            path.append(b if b >= 0 else (to,))
-            if to == n:
-                return [i for x in path for i in (self.piece_ids(word, Arc(x[0], 1, -1)) if isinstance(x, tuple) else (x,))]
-            open_.append((p, last, ways))
-            p, last = to, b
+        if self.bpe:
+            links = self.links
+            last: list[int | None] = [None] * (n + 1)
+            came = [0] * (n + 1)
+            last[0] = -1
+            for at, (b, size) in self.matches.iter(word):
+                at += 1
+                if last[at] is None:
+                    a = last[at - size]
+                    if a is not None and (a < 0 or links[a, b]):
+                        last[at], came[at] = b, at - size
+            if last[n] is not None:
+                out = []
+                while n:
+                    out.append(last[n])
+                    n = came[n]
+                return out[::-1]
+        at = self.paths(word, 0, None, n)
+        return self.trace(word, at, n, max(at[n], key=lambda k: at[n][k][0]), 0)
 
     def score(self, ids: list[int]) -> float:
         """Unigram: the weight of a stretch's pieces. Bytes of one unknown character weigh as the character."""
         return sum(-self.spec.rank.get(i, self.unknown) for i in ids)
 
     def encode(self, marked: str) -> np.ndarray:
-        out: list[int] = []
-        for word in self.cut.findall(marked):
-            ids = self.held.get(word)
-            out += self.stretch(word) if ids is None else ids
-        return np.array(out, np.int32)
+        if len(self.links) >= LINKS:
+            self.links.clear()
+        return np.frombuffer(b"".join(map(self.held.__getitem__, self.cut.findall(marked))), "<i4")
 
     # chunks: text is the chunk with up to longest - 1 characters of its surroundings; lo and hi are its cuts in it
 
@@ -343,8 +350,7 @@ class Encoder:
             head = self.paths(text, at, id_, b)
             if b > at:
                 out += self.trace(text, head, b, max(head[b], key=lambda k: head[b][k][0]), at)
-            for word in self.cut.findall(text[b:c]):
-                out += self.stretch(word)
+            out += self.encode(text[b:c]).tolist()
             at, id_ = c, None
         paths = self.paths(text, at, id_, hi)
         here = paths[goal.end - goal.size]
@@ -457,14 +463,23 @@ def lists(ids: list[np.ndarray]) -> pa.Array:
 
 class Decoder:
     def __init__(self, spec: Spec) -> None:
-        self.bytes: dict[int, bytes] = {i: piece.replace(SPACE, " ").encode() for piece, i in spec.ids.items()}
-        self.bytes |= {i: bytes([b]) for b, i in enumerate(spec.byte_ids)}
-        self.bytes.setdefault(spec.unk, " ⁇ ".encode())
+        of = {i: piece.replace(SPACE, " ").encode() for piece, i in spec.ids.items()} | {i: bytes([b]) for b, i in enumerate(spec.byte_ids)}
+        of.setdefault(spec.unk, " ⁇ ".encode())
+        held = [of.get(i, b"") for i in range(max(of) + 1)]
+        self.pool = np.frombuffer(b"".join(held), np.uint8)
+        self.size = np.array([len(x) for x in held])
+        self.at = np.cumsum(self.size) - self.size
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes that the pieces of ids stand for, one after another."""
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.pool[np.arange(total) + np.repeat(self.at[ids] - (ends - size), size)].tobytes()
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids; bytes that are no UTF-8 come out as the replacement character. The mark before the text is taken off."""
-        text = b"".join(map(self.bytes.get, ids)).decode("utf-8", "replace")
-        return text.removeprefix(" ")
+    def texts(self, ids: list[np.ndarray]) -> list[str]:
+        """Texts of lists of ids; bytes that are no UTF-8 come out as the replacement character. The mark before a text goes."""
+        return [self.decode(x).decode("utf-8", "replace").removeprefix(" ") for x in ids]
 
 
 def decode(rows: DataFrame, model: bytes) -> DataFrame:
@@ -481,7 +496,7 @@ def decode(rows: DataFrame, model: bytes) -> DataFrame:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 ids = [np.asarray(x.values.to_numpy() if x.is_valid else (), "<i4") for x in part.column(2)]
-                columns = [pa.array(map(len, ids), pa.int64()), pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids]), pa.array([decoder.decode(x.tolist()) for x in ids], pa.string())]
+                columns = [pa.array(map(len, ids), pa.int64()), pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids]), pa.array(decoder.texts(ids), pa.string())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], ["doc_id", "text_sha256", "n_tokens", "ids_sha256", "text"])
 
     return rows.select("doc_id", "text_sha256", "ids").mapInArrow(run, schema)
