@@ -61,24 +61,44 @@ def hashed(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(digest, words), np.uint64, len(words))
 
 
-def anchors(hashes: np.ndarray) -> np.ndarray:
-    """Places of the smallest pair hash in each run of AHEAD places."""
-    pairs = combined(hashes, 2, 3)
-    if len(pairs) < AHEAD:
-        return np.empty(0, np.int64)
-    runs = np.lib.stride_tricks.sliding_window_view(pairs, AHEAD)
-    least = np.concatenate([runs[at : at + 65536].argmin(axis=1) + np.arange(at, min(at + 65536, len(runs))) for at in range(0, len(runs), 65536)])
-    places = np.unique(least)
-    return places[places + WINDOW <= len(hashes)]
+def sliding(op: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
+    """op over every run of width values, by runs of doubling length."""
+    have = 1
+    out = x
+    while have < width:
+        step = min(have, width - have)
+        out = op(out[:-step], out[step:])
+        have += step
+    return out
 
 
-def bands(shingles: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The band keys of many paragraphs, whose shingles stand one after another from starts on."""
+def anchors(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places that are smallest by their pair hash in a run of AHEAD places of their own text, with WINDOW words from them on.
+
+    hashes are the words of several texts one after another, ends where each text ends.
+    """
+    if len(hashes) < AHEAD + 1:
+        return np.empty(0, np.int64)
+    end = np.repeat(ends, np.diff(np.r_[0, ends]))
+    pairs = combined(hashes, 2, 3)
+    least = sliding(np.minimum, pairs, AHEAD)
+    # a run that goes over its text's end counts for no place
+    least[np.arange(len(least)) + AHEAD >= end[: len(least)]] = 0
+    # a place is the smallest of a run if the largest of the minima of all runs that hold it is its own value
+    around = sliding(np.maximum, np.r_[np.zeros(AHEAD - 1, np.uint64), least, np.zeros(AHEAD - 1, np.uint64)], AHEAD)
+    places = np.flatnonzero(around[: len(pairs)] == pairs)
+    return places[places + WINDOW <= end[places]]
+
+
+def bands(shingles: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The band keys of many paragraphs, each from its stretch of shingles."""
+    cuts = np.stack([starts, ends], 1).ravel()
+    padded = np.r_[shingles, np.uint64(0)]
     out = np.zeros((len(starts), BANDS), np.uint64)
     for b in range(BANDS):
         key = np.full(len(starts), b + 1, np.uint64)
         for r in range(b * ROWS, (b + 1) * ROWS):
-            key = mixed(key * ODD + np.minimum.reduceat(shingles * FACTORS[r] + OFFSETS[r], starts))
+            key = mixed(key * ODD + np.minimum.reduceat(padded * FACTORS[r] + OFFSETS[r], cuts)[::2])
         out[:, b] = key
     return out
 
@@ -98,32 +118,37 @@ def units(docs: DataFrame) -> DataFrame:
 
 
 def rows_of(batch: pa.RecordBatch) -> pa.RecordBatch:
-    parts: list[tuple] = []  # kind, document's place, start, n, k1, k2: arrays of one length
-    shingles: list[np.ndarray] = []
+    words: list[bytes] = []
+    begins, line_of, line_first, line_end, digests = [], [], [], [], []
     for i, x in enumerate(batch.column(1).cast(pa.large_binary())):
-        words, lines = words_of(x.as_py() or b"")
-        h = hashed(words)
-        none = np.zeros(1, np.uint64)
-        parts.append((0, i, np.zeros(1, np.int64), np.array([len(words)]), none, none))
-        places = anchors(h)
-        if len(places):
-            own = h[places[:, None] + np.arange(WINDOW)]
-            parts.append((1, i, places, np.full(len(places), WINDOW), *(combined_rows(own, seed) for seed in (5, 7))))
+        own, lines = words_of(x.as_py() or b"")
+        begins.append(len(words))
         for first, end in lines:
             if end - first >= LINE_WORDS:
-                own = h[None, first:end]
-                parts.append((2, i, np.array([first]), np.array([end - first]), *(combined_rows(own, seed) for seed in (11, 13))))
-                shingles.append(combined(h[first:end], SHINGLE, 1))
-    sizes = [len(p[2]) for p in parts]
-    kind, place = (np.repeat([p[k] for p in parts], sizes) for k in (0, 1))
-    start, n, k1, k2 = (np.concatenate([p[k] for p in parts]) for k in (2, 3, 4, 5))
-    keys = np.empty(0, np.uint64)
-    if shingles:
-        starts = np.cumsum([0, *map(len, shingles[:-1])])
-        keys = bands(np.concatenate(shingles), starts).ravel()
-    ends = np.concatenate([[0], np.cumsum(np.where(kind == 2, BANDS, 0))])
-    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.view(np.int64)))
-    columns = [pa.array(kind, pa.int32()), batch.column(0).take(pa.array(place)), pa.array(start, pa.int32()), pa.array(n, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), lists]
+                line_of.append(i)
+                line_first.append(first)
+                line_end.append(end)
+                digests.append(xxhash.xxh3_128_digest(b" ".join(own[first:end])))
+        words += own
+    n = batch.num_rows
+    begin = np.array(begins, np.int64)
+    ends = np.r_[begin[1:], len(words)].astype(np.int64)
+    h = hashed(words)
+    places = anchors(h, ends)
+    of = np.searchsorted(ends, places, side="right")
+    windows = h[places[:, None] + np.arange(WINDOW)] if len(places) else np.empty((0, WINDOW), np.uint64)
+    line_at = begin[line_of] if line_of else np.empty(0, np.int64)
+    first, end = np.array(line_first, np.int64), np.array(line_end, np.int64)
+    ids = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+    keys = bands(combined(h, SHINGLE, 1), line_at + first, line_at + end - SHINGLE + 1).ravel() if digests else np.empty(0, np.uint64)
+    none = np.zeros(n, np.uint64)
+    kind = np.repeat([0, 1, 2], [n, len(places), len(digests)])
+    place = np.r_[np.arange(n), of, np.array(line_of, np.int64)]
+    start = np.r_[np.zeros(n, np.int64), places - begin[of], first]
+    size = np.r_[ends - begin, np.full(len(places), WINDOW), end - first]
+    k1, k2 = np.r_[none, combined_rows(windows, 5), ids[:, 0]], np.r_[none, combined_rows(windows, 7), ids[:, 1]]
+    lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.where(kind == 2, BANDS, 0))], pa.int32()), pa.array(keys.view(np.int64)))
+    columns = [pa.array(kind, pa.int32()), batch.column(0).take(pa.array(place)), pa.array(start, pa.int32()), pa.array(size, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), lists]
     return pa.RecordBatch.from_arrays(columns, ["kind", "doc_id", "start", "n", "k1", "k2", "bands"])
 
 
