@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def regression(y: str, x: str) -> list[Column]:
@@ -46,7 +47,7 @@ def t_test(t: float, df: float) -> float:
     return incomplete_beta(df / 2, 0.5, df / (df + t * t))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _p_values(rate: pd.Series, se: pd.Series, n: pd.Series) -> pd.Series:
     def one(b: float, s: float, k: float) -> float | None:
         if pd.isna(b) or pd.isna(s) or pd.isna(k) or k <= 2:

@@ -79,7 +79,7 @@ def connected_to(core: DataFrame, candidate: DataFrame, keys: list[str], most_ro
 
     def keep(frame: pd.DataFrame) -> pd.DataFrame:
         labels = label(frame["x"].to_numpy(), frame["y"].to_numpy())
-        good = np.unique(labels[frame["core"].fillna(False).to_numpy(bool)])
+        good = np.unique(labels[frame["core"].eq(True).to_numpy(bool)])
         return frame.loc[np.isin(labels, good), [*keys, "x", "y"]]
 
     return joined.groupBy(*keys).applyInPandas(keep, fields)
@@ -143,8 +143,8 @@ def analysis_zone(core: DataFrame, index: DataFrame, keys: list[str], value: str
         x, y = (frame[c].to_numpy() - frame[c].min() for c in ("x", "y"))
         shape = (int(x.max()) + 1 + 2 * radius, int(y.max()) + 1 + 2 * radius)
         land, zone = np.zeros(shape, bool), np.zeros(shape, bool)
-        land[x + radius, y + radius] = (frame[value] < 0).fillna(False).to_numpy(bool)
-        zone[x + radius, y + radius] = frame["core"].fillna(False).to_numpy(bool)
+        land[x + radius, y + radius] = frame[value].lt(0).eq(True).to_numpy(bool)
+        zone[x + radius, y + radius] = frame["core"].eq(True).to_numpy(bool)
         there = np.zeros(shape, bool)
         there[x + radius, y + radius] = True
 
