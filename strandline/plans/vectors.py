@@ -27,7 +27,7 @@ def contour_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(s.groupBy("year").agg(F.count("*").alias("segments"), F.sum(d).alias("length")), "length")
 
 
-CONTOUR_LENGTH = f"""WITH {RIGHT_UP}, q AS (SELECT * FROM n WHERE rgt IS NOT NULL AND up IS NOT NULL AND dia IS NOT NULL),
+CONTOUR_LENGTH = f"""WITH {RIGHT_UP}, q AS (SELECT * FROM n WHERE v IS NOT NULL AND rgt IS NOT NULL AND up IS NOT NULL AND dia IS NOT NULL),
     p AS (SELECT *, CASE WHEN (v < 0) <> (rgt < 0) THEN {{'x': x + v / (v - rgt), 'y': CAST(y AS DOUBLE)}} END AS b,
         CASE WHEN (rgt < 0) <> (dia < 0) THEN {{'x': CAST(x + 1 AS DOUBLE), 'y': y + rgt / (rgt - dia)}} END AS r,
         CASE WHEN (up < 0) <> (dia < 0) THEN {{'x': x + up / (up - dia), 'y': CAST(y + 1 AS DOUBLE)}} END AS t,
