@@ -27,7 +27,7 @@ FAMILIES = [
     ("gpl", "gpl", r"(?:gnu )?gpl", ["1 0", "2 0", "3 0"]),
     ("gpl", "general", r"(?:gnu )?general public license", ["1 0", "2 0", "3 0"]),
     ("lgpl", "lgpl", r"(?:gnu )?lgpl", ["2 0", "2 1", "3 0"]),
-    ("lgpl", "lesser", r"(?:gnu )?(?:lesser|library) general public license", ["2 0", "2 1", "3 0"]),
+    ("lgpl", "general", r"(?:gnu )?(?:lesser|library) general public license", ["2 0", "2 1", "3 0"]),
     ("agpl", "agpl", r"(?:gnu )?agpl", ["1 0", "3 0"]),
     ("agpl", "affero", r"(?:gnu )?affero general public license", ["1 0", "3 0"]),
     ("gfdl", "documentation", r"(?:gnu )?free documentation license", ["1 1", "1 2", "1 3"]),
@@ -74,7 +74,7 @@ FAMILIES = [
     ("cc-by-nc-sa", "cc by", r"cc by nc sa", ["2 0", "3 0", "4 0"]),
     ("cc-by-nc-nd", "cc by", r"cc by nc nd", ["2 0", "3 0", "4 0"]),
     ("cc-by", "attribution", r"creative commons attribution", ["2 0", "3 0", "4 0"]),
-    ("cc-by-sa", "sharealike", r"creative commons attribution share ?alike", ["2 0", "3 0", "4 0"]),
+    ("cc-by-sa", "attribution", r"creative commons attribution share ?alike", ["2 0", "3 0", "4 0"]),
     ("cc-by-nd", "derivatives", r"creative commons attribution no ?derivatives", ["2 0", "3 0", "4 0"]),
     ("cc-by-nc", "commercial", r"creative commons attribution non ?commercial", ["2 0", "3 0", "4 0"]),
     ("cc-by-nc-sa", "commercial", r"creative commons attribution non ?commercial share ?alike", ["2 0", "3 0", "4 0"]),
@@ -88,11 +88,11 @@ TEXTS = [
     ("isc", "permission to use", r"permission to use copy modify and or distribute this software for any purpose", 95),
     ("bsd", "redistributions", r"redistributions of source code must retain the above copyright notice", 95),
     ("bsd-3-clause", "endorse", r"neither the name of .{1,80}? may be used to endorse or promote products", 95),
-    ("apache-2.0", "apache", r"you may not use this file except in compliance with the license", 90),
+    ("apache-2.0", "in compliance", r"you may not use this file except in compliance with the license", 90),
     ("apache-2.0", "apache org", r"www apache org licenses license 2 0", 95),
-    ("gpl", "free software", r"you can redistribute it and or modify it under the terms of the gnu general public license", 95),
-    ("lgpl", "free software", r"you can redistribute it and or modify it under the terms of the gnu lesser general public license", 95),
-    ("agpl", "free software", r"under the terms of the gnu affero general public license", 95),
+    ("gpl", "redistribute it", r"you can redistribute it and or modify it under the terms of the gnu general public license", 95),
+    ("lgpl", "redistribute it", r"you can redistribute it and or modify it under the terms of the gnu lesser general public license", 95),
+    ("agpl", "affero", r"under the terms of the gnu affero general public license", 95),
     ("gpl-2.0", "gnu org", r"www gnu org licenses (?:old licenses )?gpl 2 0", 95),
     ("gpl-3.0", "gnu org", r"www gnu org licenses gpl 3 0", 95),
     ("mpl-2.0", "mozilla", r"this source code form is subject to the terms of the mozilla public license v 2 0", 97),
@@ -116,7 +116,7 @@ TEXTS = [
     ("reserved", "reserved", r"no rights reserved", 40),
     ("copyright", "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})?", 20),
     ("permissive", "permitted", r"redistribution and use in source and binary forms with or without modification are permitted", 85),
-    ("other", "licen", r"(?:licensed|released|distributed) under (?:the )?(?:terms of )?", 5),
+    ("other", "licen", r"licensed under(?: the)?(?: terms of)?", 5),
 ]
 
 # How a name stands in a text: wording around {name} and {version}, priority with a version and without.
@@ -151,6 +151,8 @@ def rules() -> list[Rule]:
             for v in versions:
                 number = v.removesuffix(" 0") + "(?: 0)?" if v.endswith(" 0") else v
                 made.append((f"{label}-{v.replace(' ', '.')}", key, words.format(name=f"(?:{name})", version=VERSION.format(v=f"(?:{number})")), with_version))
+            if without is None and name.endswith("license"):
+                without = 55  # a name that says license stands for itself
             if without is not None:
                 made.append((label, key, words.format(name=f"(?:{name})", version=""), without))
     made.sort(key=lambda x: -x[3])
