@@ -69,7 +69,7 @@ def erode(cells: DataFrame, keys: list[str], radius: int, within: DataFrame) ->
     return cells.select(*keys, "x", "y").join(dilate(others, keys, radius), [*keys, "x", "y"], "left_anti")
 
 
-def connected_to(core: DataFrame, candidate: DataFrame, keys: list[str], most_rounds: int = 10_000) -> DataFrame:
+def connected_to(core: DataFrame, candidate: DataFrame, keys: list[str]) -> DataFrame:
     """The candidate cells whose 4-neighbour component holds a core cell.
 
     Each tile and year is a group of its own; a component does not go over a tile's border, as in any tiled run.
@@ -175,6 +175,16 @@ def consensus_land(stack: DataFrame, cell: list[str], indices: tuple[str, ...] =
     return agg.select(*cell, land.alias("land"))
 
 
+def with_masks(grid: DataFrame, values: list[str], keep: DataFrame | None = None, drop: DataFrame | None = None) -> DataFrame:
+    """Values only in the cells (x, y) of ``keep`` and outside those of ``drop``; elsewhere null, and no row is lost."""
+    for cells, inside in ((keep, True), (drop, False)):
+        if cells is not None:
+            grid = grid.join(cells.select("x", "y").distinct().withColumn("_in", F.lit(True)), ["x", "y"], "left")
+            ok = F.coalesce("_in", F.lit(False)) == inside
+            grid = grid.withColumns({v: F.when(ok, F.col(v)) for v in values}).drop("_in")
+    return grid
+
+
 def inland_water(ocean: DataFrame, index: DataFrame, keys: list[str], value: str = "twndwi", radius: int = 2) -> DataFrame:
     """Water cells that are not connected to the ocean: water is an index of 0 or more, or no index where the consensus has
     ocean; the ocean's core is the consensus eroded. ``ocean`` has (x, y) of consensus cells, ``index`` a row a cell and key."""

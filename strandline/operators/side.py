@@ -69,10 +69,46 @@ def as_json_list(rows: DataFrame, order: list[str]) -> DataFrame:
 
 # Training -----------------------------------------------------------------------------------------------------------------
 
-# Class codes with their whole number, simple number, cloud class, water class and colour.
+# Training classes as code, whole number, simple number, cloud class, water class and colour.
+CODES = [
+    ("land", 1, 1, 0, 1, "#064a00"),
+    ("clean_water", 9, 2, 0, 2, "#ff0000"),
+    ("water", 2, 3, 0, 2, "#ff0000"),
+    ("deep_ocean", 3, 3, 0, 2, "#ff0000"),
+    ("noisy_water", 8, 7, 0, 2, "#00ffff"),
+    ("surf", 4, 4, 0, 4, "#ddfeff"),
+    ("coast", 5, 5, 0, 5, "#ffe48b"),
+    ("cloud", 6, 6, 1, 6, "#a9a9a9"),
+    ("noise", 7, 6, 1, 6, "#e16be1"),
+    ("bare_terrain", 10, 8, 0, 8, "#0000ff"),
+    ("built", 11, 9, 0, 9, "#ff0000"),
+]
+# The tiles of the validation composites; one of them is listed twice.
+VALIDATION_TILES = "59NLG 56MKU 01KGU 07LFL 01KHV 56MQU 60KWF 59NLG 54LYR 01KFS 55MEM 57LXK 57NVH 58KEB 58KHF 59NQB 60KXF 60LYR".split()
 PREDICTORS = ["blue", "green", "red", "nir08", "swir16", "swir22", *[f"{b}_mad" for b in ("blue", "green", "red", "nir08", "swir16", "swir22")], "count", "twndwi", "twndwi_mad", "twndwi_stdev"]
 
 
+def codes(spark) -> DataFrame:  # noqa: ANN001
+    return spark.createDataFrame(CODES, "code string, intcode int, simplintcode int, cloud int, unified_water int, color string")
+
+
+def code_for_name(name: str, response: str = "cloud") -> int:
+    """The number that a class has in a response column."""
+    at = ["code", "intcode", "simplintcode", "cloud", "unified_water", "color"].index(response)
+    return next(row[at] for row in CODES if row[0] == name)
+
+
+def names_of_codes(codes: DataFrame, response: str = "cloud") -> DataFrame:
+    """One class name for each number of a response, the first by whole number."""
+    return codes.groupBy(response).agg(F.min_by("code", "intcode").alias("code"))
+
+
+def validation_tiles(spark, first: int = 2017, last: int = 2024) -> DataFrame:  # noqa: ANN001
+    """(tile, year): every validation tile in every year, a tile that is listed twice twice."""
+    tiles = spark.createDataFrame([(t,) for t in VALIDATION_TILES], "tile string")
+    return tiles.withColumn("year", F.explode(F.sequence(F.lit(first), F.lit(last))))
+
+
 def training_times(points: DataFrame, every: str = "2020/2022") -> DataFrame:
     """A row for each time of a point: "all" stands for one period, lists are split at commas and trimmed."""
     times = F.when(F.trim("time") == "all", F.lit(every)).otherwise(F.col("time"))

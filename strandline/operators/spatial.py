@@ -83,6 +83,11 @@ def nearest_pairs(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return best.select(*keys, "p.*")
 
 
+def total_bounds(points: DataFrame) -> DataFrame:
+    """(minx, miny, maxx, maxy) of all points."""
+    return points.agg(F.min("x").alias("minx"), F.min("y").alias("miny"), F.max("x").alias("maxx"), F.max("y").alias("maxy"))
+
+
 def first_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key in a total order."""
     by = Window.partitionBy(*keys).orderBy(*order)

@@ -24,6 +24,13 @@ def with_fallback(short: DataFrame, longer: list[DataFrame], keys: list[str], va
     return out
 
 
+def masked_with_fallback(composites: list[DataFrame], keys: list[str], values: list[str], cloud: int = 1, low: int = 4) -> DataFrame:
+    """Composites from the shortest to the longest, each with its own prediction: clouds are masked in every one of them before
+    the longer ones stand in, so a value that is cloudy in all is null. ``count`` is masked like the values."""
+    masked = [mask_predicted(c, [*values, "count"], cloud=cloud) for c in composites]
+    return with_fallback(masked[0], masked[1:], keys, values, low)
+
+
 def fill_gaps(stack: DataFrame, keys: list[str], values: list[str], year: str = "year") -> DataFrame:
     """Nulls take the next year's value, or else what the year before has after it was filled; only along unbroken runs of
     years. So a value is carried on without limit, but not back by more than one year. One sort serves all values."""

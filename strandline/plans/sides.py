@@ -149,6 +149,25 @@ def training_prep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("p_partkey", "code", "time", F.coalesce("intcode", F.lit(-1)).alias("intcode"))
 
 
+def cloud_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training points with the published classes; two codes of the points are not among them, one is dropped."""
+    names = F.array(*[F.lit(c[0]) for c in side.CODES], F.lit("shift"), F.lit("unknown"))
+    points = table(spark, sf_dir, "part").select("p_partkey", F.element_at(names, (F.col("p_partkey") % 13 + 1).cast("int")).alias("code"))
+    return side.labelled(points, side.codes(spark)).select("p_partkey", "code", F.coalesce("cloud", F.lit(-1)).alias("cloud"), F.coalesce("color", F.lit("")).alias("color"))
+
+
+def class_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return side.names_of_codes(side.codes(spark), "unified_water")
+
+
+def validation_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return side.validation_tiles(spark)
+
+
+def total_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spatial.total_bounds(table(spark, sf_dir, "customer").select(F.col("c_acctbal").alias("x"), F.col("c_custkey").alias("y")))
+
+
 def nearest_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raster values at points."""
     c = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_acctbal") / 100).alias("x"), (F.col("c_custkey") % 83 + 0.25).alias("y"))
@@ -228,8 +247,9 @@ def agreement_of_composites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     grid_best_zone, grid_ids, bbox_clip, cells_in_aoi, cells_outside, dissolve, overlapping_rasters, rasterized, task_list, task_list_unlogged, task_json, tiles_by_years, date_range,
-    names_and_paths, local_hours, training_prep, nearest_cell, validation_roc, validation_summary, validation_rollup, validation_unbiased, images_by_coast, lat_lon_box, agreement_of_composites,
+    names_and_paths, local_hours, training_prep, cloud_codes, class_names, validation_tiles, total_bounds, nearest_cell, validation_roc, validation_summary, validation_rollup, validation_unbiased, images_by_coast, lat_lon_box, agreement_of_composites,
 )}
+_codes = ", ".join(str(c) for c in side.CODES)
 ORACLE_SQL = {
     "grid_best_zone": f"""WITH {GRID}, b AS (SELECT * FROM met WHERE zone <> 25 QUALIFY row_number() OVER (PARTITION BY "column", "row" ORDER BY area DESC, zone) = 1)
         SELECT c."column", c."row", coalesce(CAST('326' || lpad(CAST(zone AS VARCHAR), 2, '0') AS INT), 0) AS epsg FROM cells c LEFT JOIN b ON b."column" = c."column" AND b."row" = c."row" """,
@@ -253,6 +273,12 @@ ORACLE_SQL = {
         SELECT o_orderkey, strftime(((d + INTERVAL 630 MINUTE) AT TIME ZONE zone) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M') AS first, strftime(((d + INTERVAL 690 MINUTE) AT TIME ZONE zone) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M') AS last FROM o""",
     "training_prep": """WITH t AS (SELECT p_partkey, p_type AS code, trim(unnest(string_split(CASE p_size % 5 WHEN 0 THEN '2020/2022' WHEN 1 THEN '2020/2022, 2021' WHEN 2 THEN ' 2019 ,2020,2021' ELSE '2018' END, ','))) AS time FROM part WHERE p_type <> 'STANDARD'),
         c AS (SELECT p_type AS code, min(p_size) AS intcode FROM part WHERE p_type <> 'PROMO' GROUP BY 1) SELECT p_partkey, t.code, time, coalesce(intcode, -1) AS intcode FROM t LEFT JOIN c ON c.code = t.code""",
+    "cloud_codes": f"""WITH c AS (SELECT * FROM (VALUES {_codes}) t(code, intcode, simplintcode, cloud, unified_water, color)),
+        p AS (SELECT p_partkey, [{', '.join(f"'{c[0]}'" for c in side.CODES)}, 'shift', 'unknown'][p_partkey % 13 + 1] AS code FROM part)
+        SELECT p_partkey, p.code, coalesce(cloud, -1) AS cloud, coalesce(color, '') AS color FROM p LEFT JOIN c ON c.code = p.code WHERE p.code <> 'shift'""",
+    "class_names": f"SELECT unified_water, arg_min(code, intcode) AS code FROM (VALUES {_codes}) t(code, intcode, simplintcode, cloud, unified_water, color) GROUP BY 1",
+    "validation_tiles": f"SELECT tile, CAST(y AS INT) AS year FROM (SELECT unnest([{', '.join(repr(t) for t in side.VALIDATION_TILES)}]) AS tile), range(2017, 2025) r(y)",
+    "total_bounds": "SELECT min(c_acctbal) AS minx, min(c_custkey) AS miny, max(c_acctbal) AS maxx, max(c_custkey) AS maxy FROM customer",
     "nearest_cell": """WITH p AS (SELECT c_custkey, CAST(round((c_acctbal / 100 - 1.0) / 2.5) AS BIGINT) AS cx, CAST(round((c_custkey % 83 + 0.25 - 2.0) / 2.5) AS BIGINT) AS cy FROM customer),
         r AS (SELECT l_partkey % 40 AS cx, l_suppkey % 30 AS cy, max(l_extendedprice) AS value FROM lineitem GROUP BY ALL) SELECT c_custkey, p.cx, p.cy, coalesce(value, -1.0) AS value FROM p LEFT JOIN r ON r.cx = p.cx AND r.cy = p.cy""",
     "validation_roc": f"""WITH {ROC} SELECT o_custkey, round(coalesce(cl_rate, -1), 5) + 0.0 AS cl_rate, round(coalesce(val_rate, -1), 5) + 0.0 AS val_rate, round(coalesce(abs(cl_rate - val_rate), -1), 5) + 0.0 AS mae,

@@ -117,6 +117,22 @@ def model_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(m.select(*CELL, "year", F.coalesce("prediction", F.lit(-1)).alias("prediction"), "twndwi", "green"), "twndwi", "green")
 
 
+def masked_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clouds masked in both composite lengths, then the longer one where the shorter lacks a value or observations."""
+    p = lambda k: F.expr(f"case when (x * 5 + y * 3 + year + {k}) % 4 = 0 then 1 else 0 end")
+    one = annual(spark, sf_dir).withColumn("count", F.expr("cast(count div (1 + (x + y + year) % 9) as int)")).withColumn("prediction", p(0))
+    f = stack.masked_with_fallback([one, _three(spark, sf_dir).withColumn("prediction", p(1))], [*CELL, "year"], ["twndwi"])
+    return rounded(f.select(*CELL, "year", "twndwi"), "twndwi")
+
+
+def zone_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index in a zone of analysis and off inland water."""
+    g = grid(spark, sf_dir)
+    cells = g.select("x", "y").distinct()
+    m = morphology.with_masks(g, ["twndwi"], cells.where("x + y < 25"), cells.where("x between 6 and 7 and y = 8"))
+    return rounded(m.select("year", "x", "y", "twndwi"), "twndwi")
+
+
 BLANK = "(x * 7 + y * 3 + year) % 3 = 0 or (x + y + year) % 4 = 0"
 
 
@@ -262,7 +278,7 @@ def rf_cloud_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "tide_filter": _filtered(False), "tide_filter_strict": _filtered(True),
     **{f.__name__: f for f in (
-        tide_cutoffs, bilinear_join, tide_model, useful_times, cloud_fallback, model_mask, gap_fill, wide_years, unpivot_years, gaussian_smooth, dilate, erode,
+        tide_cutoffs, bilinear_join, tide_model, useful_times, cloud_fallback, masked_fallback, zone_masks, model_mask, gap_fill, wide_years, unpivot_years, gaussian_smooth, dilate, erode,
         connected_land, connected_by_rounds, analysis_zone, analysis_zone_cap, consensus_land, inland_water, mask_algebra, rf_cloud_mask,
     )},
 }
@@ -274,6 +290,10 @@ ORACLE_SQL = {
     "tide_model": TIDE_MODEL,
     "useful_times": f"WITH {CUTS} SELECT DISTINCT ts FROM heights JOIN cuts USING (cx, cy) WHERE height BETWEEN lo AND hi",
     "cloud_fallback": FALLBACK,
+    "masked_fallback": f"""WITH {THREE}, one AS (SELECT *, (x * 5 + y * 3 + year) % 4 = 0 AS cloudy, CAST(count // (1 + (x + y + year) % 9) AS INT) AS n FROM annual)
+        SELECT o.tile, o.x, o.y, o.year, round(CASE WHEN o.cloudy OR o.twndwi IS NULL OR o.n <= 4 THEN CASE WHEN (o.x * 5 + o.y * 3 + o.year + 1) % 4 <> 0 THEN t.twndwi END ELSE o.twndwi END, 6) + 0.0 AS twndwi
+        FROM one o LEFT JOIN three t ON o.x = t.x AND o.y = t.y AND o.year = t.year""",
+    "zone_masks": f"WITH {INDEX} SELECT year, x, y, CASE WHEN x + y < 25 AND NOT (x BETWEEN 6 AND 7 AND y = 8) THEN twndwi + 0.0 END AS twndwi FROM idx",
     "model_mask": f"""WITH {ANNUAL}, p AS (SELECT *, CASE WHEN (x * 5 + y * 3 + year) % 7 = 0 THEN 1 WHEN (x + y) % 11 = 0 THEN NULL ELSE 0 END AS prediction FROM annual)
         SELECT tile, x, y, year, coalesce(prediction, -1) AS prediction, CASE WHEN prediction <> 1 THEN round(twndwi, 6) + 0.0 END AS twndwi, CASE WHEN prediction <> 1 THEN round(green, 6) + 0.0 END AS green FROM p""",
     "gap_fill": GAP_FILL,
