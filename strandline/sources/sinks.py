@@ -41,7 +41,7 @@ def conforming(df: DataFrame, schema: str) -> DataFrame:
     return df.select(*out, *[c for c in ("geometry", "vertices", "x", "y") if c in df.columns])
 
 
-def write_coastline(root: str, raster: DataFrame | None, lines: DataFrame, points: DataFrame | None) -> None:
+def write_shore(root: str, raster: DataFrame | None, lines: DataFrame, points: DataFrame | None) -> None:
     """The three products of a tile stage; the points may be missing."""
     if raster is not None:
         raster.write.mode("overwrite").parquet(f"{root}/raster")

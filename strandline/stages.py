@@ -1,4 +1,4 @@
-"""The three stages as a user runs them, and the task list: mosaics from scenes, coastlines from mosaics, the continental summary.
+"""The three stages as a user runs them, and the task list: mosaics from scenes, shorelines from mosaics, the continental summary.
 
 All tiles and periods of a stage run as one plan. ``python -m strandline STAGE ...`` runs them on stored tables.
 """
@@ -41,14 +41,14 @@ def mosaics(obs: DataFrame, order: list[str], first: int, last: int, lengths: tu
     return quantize(made, [*KEYS, "year", "period_len"])
 
 
-class Coastlines(NamedTuple):
+class Shores(NamedTuple):
     raster: DataFrame  # tile_id, x, y, year, index
     lines: DataFrame  # tile_id, year, part, vertices, certainty
     points: DataFrame  # uid, x, y, trend and statistics
     distances: DataFrame  # uid, year, dist
 
 
-def coastlines(stored: DataFrame, res: float = 30.0, spacing: float = 30.0, most: float = 5_000.0, index: str = "twndwi", model=None, first_year: int = 1999, regions: DataFrame | None = None, expansions: int = 64) -> Coastlines:  # noqa: ANN001
+def shores(stored: DataFrame, res: float = 30.0, spacing: float = 30.0, most: float = 5_000.0, index: str = "twndwi", model=None, first_year: int = 1999, regions: DataFrame | None = None, expansions: int = 64) -> Shores:  # noqa: ANN001
     """Masked, filled and smoothed yearly grids; their zero contours; points along the last year's contour with their yearly
     distances, trends and certainty. ``model`` masks clouds; without one nothing is masked but what has few observations.
     """
@@ -92,7 +92,7 @@ def coastlines(stored: DataFrame, res: float = 30.0, spacing: float = 30.0, most
         from strandline.operators.spatial import with_region
 
         known = with_region(known, regions, "eez_territory")
-    return Coastlines(raster, lines, known.checkpoint(), dist)
+    return Shores(raster, lines, known.checkpoint(), dist)
 
 
 class Continent(NamedTuple):
@@ -101,7 +101,7 @@ class Continent(NamedTuple):
     hotspots: list[DataFrame]
 
 
-def continent(tiles: list[Coastlines], north: float | None = None, radii: tuple[float, ...] = RADII, first_year: int = 1999) -> Continent:
+def continent(tiles: list[Shores], north: float | None = None, radii: tuple[float, ...] = RADII, first_year: int = 1999) -> Continent:
     """The tiles' layers in one, statistics made anew, service columns, and hotspots of every radius."""
     lines, points, dist = (continental.merged([getattr(t, n) for t in tiles]) for n in ("lines", "points", "distances"))
     stats = movement.all_time_stats(dist, first_year)
@@ -122,14 +122,14 @@ def continent(tiles: list[Coastlines], north: float | None = None, radii: tuple[
 
 
 def main(spark: SparkSession, args: list[str]) -> None:
-    """mosaics OBS OUT FIRST LAST | coastlines MOSAICS OUT | tasks GRID DATETIMES [LOG]"""
+    """mosaics OBS OUT FIRST LAST | shores MOSAICS OUT | tasks GRID DATETIMES [LOG]"""
     match args:
         case ["mosaics", source, out, first, last]:
             obs = spark.read.parquet(source)
             sinks.write_mosaic(mosaics(obs, ["ts", *sorted(c for c in obs.columns if c != "ts")], int(first), int(last)), out)
-        case ["coastlines", source, out]:
-            made = coastlines(tables.mosaics(spark, source))
-            sinks.write_coastline(out, made.raster, made.lines, made.points)
+        case ["shores", source, out]:
+            made = shores(tables.mosaics(spark, source))
+            sinks.write_shore(out, made.raster, made.lines, made.points)
         case ["tasks", grid, periods, *log]:
             done = None
             if log:

@@ -77,7 +77,7 @@ def test_layers(spark, tmp_path):
         spark.sql("USE default")
         spark.sql("DROP DATABASE layers_test CASCADE")
     lines = spark.createDataFrame([(2000, "good", "COOK", [(0.0, 1.0), (2.0, 3.0)])], "year int, certainty string, eez_territory string, vertices array<struct<x:double,y:double>>")
-    sinks.write_coastline(str(tmp_path), None, lines, None)
+    sinks.write_shore(str(tmp_path), None, lines, None)
     back = spark.read.parquet(str(tmp_path / "shorelines_annual")).first()
     assert back.eez_territory == "COO" and back.vertices[1].y == 3.0 and not (tmp_path / "rates_of_change").exists()
     sinks.export_csv(lines, str(tmp_path / "csv"))

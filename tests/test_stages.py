@@ -31,7 +31,7 @@ def test_from_scenes_to_hotspots(spark, tmp_path):
     sinks.write_mosaic(made, root)
     stored = tables.mosaics(spark, root)
     assert stored.count() == 2 * 6 * 625 and stored.where("period_len = 3").agg(F.max("count")).first()[0] == 9
-    c = stages.coastlines(stored, res=30.0, first_year=2000, expansions=12, index="mndwi")
+    c = stages.shores(stored, res=30.0, first_year=2000, expansions=12, index="mndwi")
     lines = {r.year: r for r in c.lines.collect()}
     assert sorted(lines) == list(range(2000, 2006)) and len(c.lines.collect()) == 6
     radius = {y: sum(math.dist((p.x, p.y), (360, 360)) for p in r.vertices) / len(r.vertices) for y, r in lines.items()}
@@ -39,7 +39,7 @@ def test_from_scenes_to_hotspots(spark, tmp_path):
     points = c.points.collect()
     assert len(points) > 25 and all(p.valid_obs == 6 and p.max_year == 2000 and p.certainty == "insufficient observations" for p in points)
     assert all(abs(p.rate_time - 0) < 40 and p.sig_time is not None for p in points)
-    sinks.write_coastline(str(tmp_path / "tile"), c.raster, c.lines, c.points)
+    sinks.write_shore(str(tmp_path / "tile"), c.raster, c.lines, c.points)
     assert spark.read.parquet(str(tmp_path / "tile/rates_of_change")).count() == len(points)
     k = stages.continent([c], north=1e9, radii=(300.0, 100.0), first_year=2000)
     assert k.points.where("wms_good").count() == 0 and [r.year for r in k.shorelines.collect()] == list(range(2000, 2006))
