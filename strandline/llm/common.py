@@ -6,7 +6,7 @@ import math
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,10 +36,23 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: it cuts the lineage and survives lost executors."""
+def splits(df: DataFrame) -> int:
+    """The partitions of a plan that only scans and maps, or else the number of shuffle partitions; runs no job."""
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.rdd.getNumPartitions()
+
+
+def few(source: DataFrame) -> int:
+    """A number of tasks for work that gains from fewer and larger ones (small results, caches): two a core, or an eighth
+    of the source's partitions if that is more."""
+    return max(2 * source.sparkSession.sparkContext.defaultParallelism, splits(source) // 8)
+
+
+def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """df as a Parquet table in the shared folder: it cuts the lineage and survives lost executors. At most ``files`` files."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.coalesce(files) if files else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -66,6 +79,26 @@ def id_block(df: DataFrame, rows_a_block: int, most: int, id_col: str = "doc_id"
     return F.expr(f"coalesce({id_col}, {low}L) div {width}L")
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which its Python worker gives free memory back: workers wait for their next task beside the executor's heap."""
+
+    def leaving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ctypes
+        import gc
+
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except AttributeError:  # not glibc
+                pass
+
+    return leaving
+
+
 def split_hot(rows: DataFrame, keys: list[str], item: str, most: int) -> DataFrame:
     """Adds ``lo`` and ``hi``: rows that meet in a (keys, lo, hi) group are those to be compared with each other.
 
@@ -108,7 +141,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Alternates the large-star and small-star steps until the edges are stars. Every round is one pair of aggregations with
     partial sums before the shuffle, written to the shared folder; nothing is collected but two numbers a round.
     """
-    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    files = few(edges)
+    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", files)
     mark = None
     for _ in range(most_rounds):
         both = now.union(now.select("b", "a"))
@@ -116,7 +150,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
-        now = written(small, "edges")
+        now = written(small, "edges", files)
         new = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if new == mark:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -25,9 +25,7 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = sentencepieces.read_model(MODEL)
-    rows = sentencepieces.decode(sentencepieces.encode(documents(spark, sf_dir), model), model)
-    return rows.select("doc_id", "n_tokens", "ids_sha256", (F.sha2(F.col("text").cast("binary"), 256) == F.coalesce("text_sha256", F.sha2(F.lit("").cast("binary"), 256))).alias("round_trip"))
+    return sentencepieces.round_trips(documents(spark, sf_dir), sentencepieces.read_model(MODEL))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +68,28 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
+#: Jump consistent hashing for 8 and 9 shards as a recursion (64-bit steps in HUGEINT), and CRC-32 by its table.
 ORACLE_SQL = {
+    "op5_sharding": """
+        WITH RECURSIVE crc_table AS (
+            SELECT list(c ORDER BY i) AS tab FROM (
+                SELECT i, list_reduce(range(9), lambda c, k: CASE WHEN k = 0 THEN c WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c
+                FROM range(256) r(i))),
+        bytes AS (
+            SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size,
+                   list_transform(string_split(regexp_replace(hex(encode(coalesce(text, ''))), '(..)', '\\1 ', 'g'), ' ')[:-2], lambda h: CAST('0x' || h AS BIGINT)) AS bytes
+            FROM documents),
+        rows AS (SELECT doc_id, size, xor(list_reduce(bytes, lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) AS text_crc32 FROM bytes, crc_table),
+        step AS (
+            SELECT doc_id, n, CAST(doc_id AS HUGEINT) AS key, CAST(-1 AS BIGINT) AS b, CAST(0 AS BIGINT) AS j FROM (SELECT DISTINCT doc_id FROM documents), (VALUES (8), (9)) s(n)
+            UNION ALL
+            SELECT doc_id, n, k, j, CAST(floor((j + 1) * (2147483648.0 / CAST((k // 8589934592) + 1 AS DOUBLE))) AS BIGINT)
+            FROM (SELECT doc_id, n, j, (key * 2862933555777941757 + 1) % 18446744073709551616 AS k FROM step WHERE j < n)),
+        shards AS (SELECT doc_id, max(b) FILTER (WHERE n = 8) AS shard, max(b) FILTER (WHERE n = 9) AS grown_shard FROM step WHERE j >= n GROUP BY doc_id)
+        SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INT) AS shard,
+               row_number() OVER (PARTITION BY shard ORDER BY doc_id, size, text_crc32) - 1 AS slot, CAST(grown_shard AS INT) AS grown_shard
+        FROM rows JOIN shards USING (doc_id)
+    """,
     "op6_line_dedup": """
         WITH lines AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

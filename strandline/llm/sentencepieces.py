@@ -25,18 +25,18 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import written
+from strandline.llm.common import few, lean, written
 
 SPACE = "▁"
 #: Texts of more characters than this are cut in chunks of so many.
 CHUNK = 16_384
 #: Stretches whose pieces a task holds, and as many older ones.
-HELD = 250_000
+HELD = 350_000
 #: Pairs of pieces of which a task knows whether they fit.
-LINKS = 1_000_000
+LINKS = 400_000
 NEVER = float("-inf")
 
 
@@ -163,6 +163,8 @@ class Encoder:
     def __init__(self, spec: Spec) -> None:
         self.spec = spec
         self.cut = re.compile(spec.cut)
+        self.words = not any(SPACE in piece.lstrip(SPACE) for piece in spec.ids)
+        self.mark = re.compile(f"(?<!{SPACE}){SPACE}")
         self.held = Held(lambda word: array.array("i", self.one_path(word)).tobytes())
         self.links = Links(self._fits)
         self.bpe = spec.kind == "bpe"
@@ -296,14 +298,20 @@ class Encoder:
         return [arc for s in range(max(0, cut - self.spec.longest), cut) for arc in self.arcs(text, s) if arc.end >= cut]
 
     def borders(self, text: str, lo: int, hi: int) -> tuple[int, int] | None:
-        """The first and the last border in [lo, hi): places that no piece goes over. None: there is none.
+        """The first and the last border in [lo, hi): places that no piece goes over. None: there is none that is sure.
 
-        The surroundings may begin inside a stretch, so a border counts only if the stretch pattern has it from both sides;
-        it does wherever a stretch begins after the first match.
+        Where pieces hold marks only at their front, every mark that follows another character is a border, whatever
+        surrounds it. A chunk without one is a single word, and is gone through as a whole.
         """
-        starts = [m.start() for m in self.cut.finditer(text) if m.start() > 0]
-        inner = [p for p in starts if lo <= p < hi]
-        return (inner[0], inner[-1]) if inner else None
+        if not self.words:
+            return None
+        first = self.mark.search(text, max(lo, 1), hi)
+        if first is None:
+            return None
+        last = text.rfind(SPACE, 0, hi)
+        while text[last - 1] == SPACE:
+            last -= 1
+        return first.start(), max(first.start(), last)
 
     def matrix(self, text: str, lo: int, hi: int, first: bool, last: bool) -> list[tuple[str, str, float]]:
         """(state at lo, state at hi, best weight); the state before a text is "start"; at its end all states are taken."""
@@ -395,16 +403,13 @@ def read_model(path: str) -> bytes:
 def encode(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, text_sha256, ids) for every row: the ids that the model's own library gives for the whole text.
 
-    The digest is that of the text as the model can return it (null for a null text), kept to check decoding. Null and empty texts have no ids. Texts of
-    more than ``chunk`` characters go through the scan: their chunks are dealt over all tasks twice, once for the matrices and
+    The digest is the text's (null for a null text), kept to check decoding. Null and empty texts have no ids. Texts of more
+    than ``chunk`` characters go through the scan: their chunks are dealt over all tasks twice, once for the matrices and
     once to be traced back, and only the matrices of a text meet in one task. Equal giant texts are encoded once. Equal rows
     come out as often as they come in; a null doc_id stays null; other columns are ignored.
     """
-    spark: SparkSession = docs.sparkSession
     loaded = load(model)
-    spec = spark.sparkContext.broadcast(tuple(loaded))
-    rows = docs.select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
-    small = F.coalesce(F.length("text") <= chunk, F.lit(True))
+    spec = docs.sparkSession.sparkContext.broadcast(tuple(loaded))
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Spec(*spec.value))
@@ -414,8 +419,18 @@ def encode(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
                 ids = [encoder.encode(marked(x.as_py() or "")) for x in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), lists(ids)], ["doc_id", "text_sha256", "ids"])
 
-    whole = rows.where(small).mapInArrow(plain, "doc_id long, text_sha256 string, ids array<int>")
-    giant = rows.where(~small)
+    rows = docs.select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+    whole = rows.where(is_small(chunk)).coalesce(few(docs)).mapInArrow(lean(plain), "doc_id long, text_sha256 string, ids array<int>")
+    return whole.unionByName(encode_giants(rows.where(~is_small(chunk)), loaded, chunk))
+
+
+def is_small(chunk: int) -> Column:
+    return F.coalesce(F.length("text") <= chunk, F.lit(True))
+
+
+def encode_giants(giant: DataFrame, loaded: Spec, chunk: int) -> DataFrame:
+    """encode() for texts (doc_id, text, text_sha256) that are cut in chunks."""
+    spec = giant.sparkSession.sparkContext.broadcast(tuple(loaded))
     around = loaded.longest
     parts = (
         giant.select("text_sha256", "text").dropDuplicates(["text_sha256"])
@@ -429,11 +444,11 @@ def encode(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
             F.substring(F.col("t"), F.greatest(F.col("k") * chunk - around, F.lit(0)) + 1, F.lit(chunk + 2 * around)).alias("t"),
         )
     )
-    parts = written(parts.select("text_sha256", "k", "last", "lo", (F.col("lo") + F.col("size")).alias("hi"), F.substring(F.col("t"), F.lit(1), F.col("lo") + F.col("size") + F.when(F.col("last"), 0).otherwise(around)).alias("t")), "chunks")
+    parts = written(parts.select("text_sha256", "k", "last", "lo", (F.col("lo") + F.col("size")).alias("hi"), F.substring(F.col("t"), F.lit(1), F.col("lo") + F.col("size") + F.when(F.col("last"), 0).otherwise(around)).alias("t")), "chunks", few(giant))
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Spec(*spec.value))
-        for batch in batches:
+        for batch in (b.slice(at, 200) for b in batches for at in range(0, b.num_rows, 200)):
             cells = [encoder.matrix(r["t"], r["lo"], r["hi"], r["k"] == 0, r["last"]) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([[{"a": a, "b": b, "w": w} for a, b, w in c] for c in cells], CELLS)], ["text_sha256", "k", "cells"])
 
@@ -443,14 +458,14 @@ def encode(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Spec(*spec.value))
-        for batch in batches:
+        for batch in (b.slice(at, 200) for b in batches for at in range(0, b.num_rows, 200)):
             ids = [np.array(encoder.chunk(r["t"], r["lo"], r["hi"], r["enter"], r["leave"]), np.int32) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists(ids)], ["text_sha256", "k", "ids"])
 
-    states = parts.mapInArrow(matrices, "text_sha256 string, k int, cells array<struct<a:string,b:string,w:double>>").groupBy("text_sha256").applyInPandas(product, "text_sha256 string, k int, enter string, leave string")
-    pieces = parts.join(states, ["text_sha256", "k"]).mapInArrow(traced, "text_sha256 string, k int, ids array<int>")
+    states = parts.mapInArrow(lean(matrices), "text_sha256 string, k int, cells array<struct<a:string,b:string,w:double>>").groupBy("text_sha256").applyInPandas(product, "text_sha256 string, k int, enter string, leave string")
+    pieces = parts.join(states, ["text_sha256", "k"]).mapInArrow(lean(traced), "text_sha256 string, k int, ids array<int>")
     joined = pieces.groupBy("text_sha256").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x.ids)).alias("ids"))
-    return whole.unionByName(giant.select("doc_id", "text_sha256").join(joined, "text_sha256").select("doc_id", "text_sha256", "ids"))
+    return giant.select("doc_id", "text_sha256").join(joined, "text_sha256").select("doc_id", "text_sha256", "ids")
 
 
 CELLS = pa.list_(pa.struct([("a", pa.string()), ("b", pa.string()), ("w", pa.float64())]))
@@ -499,4 +514,32 @@ def decode(rows: DataFrame, model: bytes) -> DataFrame:
                 columns = [pa.array(map(len, ids), pa.int64()), pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids]), pa.array(decoder.texts(ids), pa.string())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], ["doc_id", "text_sha256", "n_tokens", "ids_sha256", "text"])
 
-    return rows.select("doc_id", "text_sha256", "ids").mapInArrow(run, schema)
+    return rows.select("doc_id", "text_sha256", "ids").mapInArrow(lean(run), schema)
+
+
+def round_trips(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, round_trip): encode() and decode() of every row, and whether the text came back.
+
+    The same ids and texts as these two give, and the same cases; but a text that is not cut is encoded, decoded and compared
+    in one Python step, so neither ids nor texts go back to the JVM. A null text counts as empty.
+    """
+    loaded = load(model)
+    spec = docs.sparkSession.sparkContext.broadcast(tuple(loaded))
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = Encoder(Spec(*spec.value)), Decoder(Spec(*spec.value))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                texts = [x.as_py() or "" for x in part.column(1)]
+                ids = [encoder.encode(marked(x)) for x in texts]
+                back = [a == b for a, b in zip(decoder.texts(ids), texts, strict=True)]
+                columns = [pa.array(map(len, ids), pa.int64()), pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids], pa.string()), pa.array(back, pa.bool_())]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["doc_id", "n_tokens", "ids_sha256", "round_trip"])
+
+    small = docs.select("doc_id", "text").where(is_small(chunk)).coalesce(few(docs))
+    whole = small.mapInArrow(lean(both), "doc_id long, n_tokens long, ids_sha256 string, round_trip boolean")
+    giant = docs.select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")).where(~is_small(chunk))
+    rest = decode(encode_giants(giant, loaded, chunk), model)
+    same = F.sha2(F.col("text").cast("binary"), 256) == F.col("text_sha256")
+    return whole.unionByName(rest.select("doc_id", "n_tokens", "ids_sha256", same.alias("round_trip")))
