@@ -6,38 +6,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import decontaminate, language_id, line_dedup, sentencepieces, simhash
-from strandline.llm.common import MODEL, documents, few, written
+from strandline.llm.common import MODEL, documents, for_texts, written
 
-#: The stages up to the last return these columns; n_chars is that of the text as it then is. They return few partitions (see
-#: common.few), so that what is written between them is not many small files.
+#: The stages up to the last return these columns; n_chars is that of the text as it then is.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; null texts, texts without a letter and rejected ones go."""
-    return language_id.accepted(docs.select(*COLUMNS)).coalesce(few(docs))
+    return language_id.accepted(for_texts(docs).select(*COLUMNS))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the long lines that at least five of them share (the largest doc_id keeps them)."""
     kept = line_dedup.dedup_lines(docs, min_chars=40, min_docs=5, carry=("lang", "source"))
-    return kept.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars")).coalesce(few(kept))
+    return kept.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one of the smallest doc_id."""
-    kept = simhash.deduplicated(docs.select(*COLUMNS))
-    return kept.coalesce(few(kept))
+    return simhash.deduplicated(for_texts(docs).select(*COLUMNS))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not hold a benchmark item."""
-    return decontaminate.decontaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).coalesce(few(docs))
+    return decontaminate.decontaminated(for_texts(docs).select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, round_trip) of every document."""
-    return sentencepieces.round_trips(docs, sentencepieces.read_model(MODEL))
+    return sentencepieces.round_trips(for_texts(docs), sentencepieces.read_model(MODEL))
 
 
 STAGES = [

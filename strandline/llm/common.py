@@ -22,8 +22,21 @@ MODEL = os.environ.get("STRANDLINE_SENTENCEPIECE", "/opt/tokenizers/piece_bpe_32
 KEY = os.environ.get("STRANDLINE_PII_KEY", "not a secret").encode()
 
 
+#: Rows that go to a Python worker at once, where the session has not set another number. Spark's 10,000 suit narrow rows;
+#: texts are long, and each batch stands in memory on both sides.
+BATCH_ROWS = 1000
+
+
+def for_texts(df: DataFrame) -> DataFrame:
+    """df, with the session's Arrow batches made small enough for texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(key) == "10000":
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return for_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import written
+from strandline.llm.common import lean
 
 WORD = re.compile(r"\w+")
 #: Modulus and base of the running hash.
@@ -153,7 +153,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, seed: int = 5, coverage
                 columns += [pa.array([r[k] for r in rows], t) for k, t in ((1, pa.int64()), (2, pa.float64()), (3, pa.int64()), (4, pa.int64()))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "coverage", "matched", "tiles"])
 
-        found = docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+        found = docs.select("doc_id", "text").mapInArrow(lean(run), SCHEMA)
         out = found if out is None else out.unionAll(found)
     return out
 
@@ -179,5 +179,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, seed: int = 5, coverag
             for batch in batches:
                 yield batch.filter(pa.array([not block.matches(x.as_py() or "", seed, coverage) for x in batch.column(at)], pa.bool_()))
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = docs.mapInArrow(lean(clean), docs.schema)
     return docs

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandline.llm.common import lean
+
 BUCKETS, DIM = 1 << 16, 16
 #: Bounds of the training sample: documents, windows of each, code points of a window. Documented parameters of the model.
 SAMPLE_DOCS, WINDOWS, WINDOW_CHARS = 2500, 4, 300
@@ -138,7 +140,7 @@ def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], ["doc_id", "text", "held_out", "lang_pred", "score", "rejected"])
 
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
-    return docs.select("doc_id", "text", held_out.alias("held_out")).mapInArrow(run, "doc_id long, text string, held_out boolean, lang_pred string, score double, rejected boolean")
+    return docs.select("doc_id", "text", held_out.alias("held_out")).mapInArrow(lean(run), "doc_id long, text string, held_out boolean, lang_pred string, score double, rejected boolean")
 
 
 def accepted(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -150,4 +152,4 @@ def accepted(docs: DataFrame, model: Model | None = None) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([not model.predict(x.as_py())[2] for x in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep), docs.schema)

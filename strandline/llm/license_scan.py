@@ -12,6 +12,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from strandline.llm.common import lean
+
 # Fixed values of the contract: phrases and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
@@ -236,7 +238,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
             columns = [batch.column(0), *(pa.array([r[k] for r in rows], t) for k, t in TYPES.items())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", *TYPES])
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(lean(run), SCHEMA)
 
 
 TYPES = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import BLANKS, ascii_lower, scratch
+from strandline.llm.common import BLANKS, ascii_lower, few, scratch
 
 
 def lines_of(text: Column) -> Column:
@@ -33,14 +33,14 @@ class LineRuns:
 
     def __init__(self, spark: SparkSession, fanout: int = 4, buckets: int | None = None) -> None:
         self.spark, self.fanout = spark, fanout
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = buckets or min(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.levels: list[list[str]] = []
         self.path, self.made = scratch(spark, "line-runs"), 0
 
     def _write(self, rows: DataFrame, level: int) -> None:
         self.made += 1
         name = f"line_run_{self.path.rsplit('-', 1)[1]}_{self.made}"
-        rows.repartition(self.buckets, "h1").write.bucketBy(self.buckets, "h1").sortBy("h1", "h2").option("path", f"{self.path}/{level}-{self.made}").format("parquet").saveAsTable(name)
+        rows.repartition(self.buckets, "h1").coalesce(self.buckets).write.bucketBy(self.buckets, "h1").sortBy("h1", "h2").option("path", f"{self.path}/{level}-{self.made}").format("parquet").saveAsTable(name)
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(name)
@@ -83,6 +83,11 @@ class LineRuns:
         """Each key once, with the number of documents over all batches and its keeper."""
         return self.merged([name for level in self.levels for name in level])
 
+    def close(self) -> None:
+        """Takes the runs' names out of the catalogue. Their files stay for what has been planned on them."""
+        self._drop([name for level in self.levels for name in level])
+        self.levels = []
+
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, *carry, text, n_lines, n_dropped): every text without the long lines that many documents share.
@@ -103,14 +108,15 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     keys = F.array_distinct(F.transform(F.filter(F.transform(F.filter(lines_of(F.col("text")), lambda x: F.length(x) >= min_chars), line_key), lambda x: F.length(x) >= min_chars), key_hash))
     path = scratch(spark, "line-keys")
     batch = F.when(F.col("doc_id").isNull(), F.lit(batches)).otherwise(F.floor((F.lit(hi) - F.col("doc_id")) / width)).cast("int")
-    docs.select("doc_id", batch.alias("batch"), F.explode(keys).alias("k")).select("doc_id", "batch", "k.h1", "k.h2").write.partitionBy("batch").parquet(path)
-    held = spark.read.schema("doc_id long, h1 long, h2 long, batch int").parquet(path)
+    docs.select("doc_id", batch.alias("batch"), F.explode(keys).alias("k")).select("doc_id", "batch", "k.h1", "k.h2").coalesce(few(docs)).sortWithinPartitions("batch").write.parquet(path)
+    held = spark.read.schema("doc_id long, batch int, h1 long, h2 long").parquet(path)  # a batch skips the row groups of others
     store = LineRuns(spark, fanout)
     for b in range(batches + 1):
         part = held.where(F.col("batch") == b)
         if b == 0 or not part.isEmpty():
             store.add(part.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper")))
     common = store.all_keys().where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper")
+    store.close()
     lost = held.join(common, ["h1", "h2"]).where("doc_id < keeper or (doc_id is null and keeper is not null)")
     lost = lost.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("lost"))
     lines = lines_of(F.col("text"))

@@ -10,6 +10,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from strandline.llm.common import lean
+
 ROUNDS = 8
 
 
@@ -206,4 +208,4 @@ def pseudonymize(docs: DataFrame, key: bytes) -> DataFrame:
                 ["doc_id", "text", "n_private", "kinds"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text string, n_private long, kinds string")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, text string, n_private long, kinds string")

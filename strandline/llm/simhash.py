@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import components, groups, split_hot, written
+from strandline.llm.common import components, few, groups, lean, split_hot, written
 
 BITS = 64
 #: Children of a node of the index.
@@ -49,7 +49,7 @@ def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
             fps = np.fromiter((fingerprint(x.as_py() or b"", width) for x in texts), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, fp long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -157,7 +157,7 @@ def near_components(fps: DataFrame, limit: int = 4) -> DataFrame:
     index finds the pairs, and a task emits a spanning forest of them, never the pairs. A key with more than GROUP codes is
     cut in slices that meet pair by pair, so a large group of near copies is dealt over many tasks.
     """
-    codes = written(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "codes")
+    codes = written(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "codes", few(fps))
     keys = masks(limit, codes.count())
     mask = F.array(*[F.lit(signed(m)) for m in keys])
     rows = codes.select("fp", "rep", F.posexplode(mask).alias("m", "mask")).select("m", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp", "rep")
@@ -173,7 +173,7 @@ def near_components(fps: DataFrame, limit: int = 4) -> DataFrame:
                 if edges:
                     yield pa.RecordBatch.from_pydict({"a": [reps[a] for a, _ in edges], "b": [reps[b] for _, b in edges]}, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    edges = rows.select(*by, "fp", "rep").repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(link, "a long, b long")
+    edges = rows.select(*by, "fp", "rep").repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(lean(link), "a long, b long")
     found = components(edges)
     return codes.join(found, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
 
@@ -185,7 +185,7 @@ def near_duplicates(docs: DataFrame, limit: int = 4, width: int = 4) -> DataFram
     ``width`` words are one shingle. Equal rows come out as often as they come in; a null doc_id gets the component of its
     fingerprint, null if no other row has it. An empty table gives an empty result; other columns are ignored.
     """
-    fps = written(fingerprints(docs, width), "fingerprints")
+    fps = written(fingerprints(docs, width), "fingerprints", few(docs))
     return fps.join(near_components(fps, limit), "fp", "left").select("doc_id", "fp", "component_id")
 
 
@@ -194,7 +194,7 @@ def deduplicated(docs: DataFrame, limit: int = 4, width: int = 4) -> DataFrame:
 
     Of rows that share a doc_id one stays, the smallest by text. Rows without a doc_id cannot be told apart and stay.
     """
-    found = written(near_duplicates(docs, limit, width), "near-duplicates")
+    found = written(near_duplicates(docs, limit, width), "near-duplicates", few(docs))
     lost = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
     again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1").select("doc_id")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import components, groups, split_hot, written
+from strandline.llm.common import components, groups, lean, split_hot, written
 
 #: Words of a shingle, and the Jaccard similarity of two paragraphs' shingles from which they are the same.
 SHINGLE, SIMILAR = 5, 0.8
@@ -114,7 +114,7 @@ def units(docs: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 yield rows_of(batch.slice(at, 500))
 
-    return docs.select("doc_id", "text").mapInArrow(run, UNITS)
+    return docs.select("doc_id", "text").mapInArrow(lean(run), UNITS)
 
 
 def rows_of(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -207,7 +207,7 @@ def line_roots(lines: DataFrame, docs: DataFrame) -> DataFrame:
                         found.append(np.unique(combined(h[x["start"] : x["start"] + x["n"]], SHINGLE, 1)).view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int32()), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "start", "shingles"])
 
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(sets, "doc_id long, start int, shingles array<long>").groupBy("doc_id", "start").agg(F.first("shingles").alias("shingles"))
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id").mapInArrow(lean(sets), "doc_id long, start int, shingles array<long>").groupBy("doc_id", "start").agg(F.first("shingles").alias("shingles"))
     rows = buckets.select("key", "rep.doc_id", "rep.start").join(texts, ["doc_id", "start"])
     rows = split_hot(rows.select("key", here.alias("rep"), "shingles"), ["key"], "rep", GROUP)
     by = ["key", "lo", "hi"]
@@ -224,7 +224,7 @@ def line_roots(lines: DataFrame, docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([reps[e[k]] for e in edges], kind) for k in (0, 1)], ["a", "b"])
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges = rows.repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(link, f"a {node}, b {node}")
+    edges = rows.repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(lean(link), f"a {node}, b {node}")
     return components(edges).select(F.col("node").alias("rep"), "root")
 
 
@@ -292,4 +292,4 @@ def removed(docs: DataFrame, found: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["doc_id", "text"])
 
     spans = found.where("size(spans) > 0").select(F.col("doc_id").alias("_id"), "n_words", "spans").dropDuplicates(["_id"])
-    return docs.select("doc_id", "text").join(spans, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "n_words", "spans").mapInArrow(cut, "doc_id long, text string")
+    return docs.select("doc_id", "text").join(spans, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "n_words", "spans").mapInArrow(lean(cut), "doc_id long, text string")
