@@ -21,6 +21,9 @@ LINE_WORDS = 20
 #: Inside longer text a paragraph is WINDOW words from a winnowed place on; each AHEAD places have one. So any passage of
 #: WINDOW + AHEAD words that repeats has a paragraph inside that is found in all its copies, wherever lines end.
 WINDOW, AHEAD = 20, 30
+#: A passage that repeats goes on for at most so many places beyond its first and last winnowed window: with one more place
+#: that side would be a passage of WINDOW + AHEAD + 1 words of its own, which has a window that is found.
+REACH = AHEAD + 1
 #: Paragraphs of one band that a task compares at once; see split_hot.
 GROUP = 1000
 
@@ -228,11 +231,61 @@ def line_roots(lines: DataFrame, docs: DataFrame) -> DataFrame:
     return components(edges).select(F.col("node").alias("rep"), "root")
 
 
+def around(docs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(doc_id, start, k1, k2): every window of the documents that starts within REACH places of a seed (doc_id, start)."""
+    wanted = seeds.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
+                ids, held, k1, k2 = [], [], [], []
+                for doc_id, text, starts in zip(part.column(0).to_pylist(), part.column(1).cast(pa.large_binary()), part.column(2), strict=True):
+                    h = hashed(words_of(text.as_py() or b"")[0])
+                    last = len(h) - WINDOW
+                    if last < 0:
+                        continue
+                    near = np.zeros(last + 2, np.int64)
+                    s = np.asarray(starts.values, np.int64)
+                    s = s[s <= last]  # of rows that share a doc_id, another one may be longer
+                    np.add.at(near, np.maximum(s - REACH, 0), 1)
+                    np.add.at(near, np.minimum(s + REACH, last) + 1, -1)
+                    places = np.flatnonzero(np.cumsum(near)[:-1])
+                    windows = np.lib.stride_tricks.sliding_window_view(h, WINDOW)[places]
+                    ids.append(np.full(len(places), doc_id, np.int64))
+                    held.append(places.astype(np.int32))
+                    k1.append(combined_rows(windows, 5).view(np.int64))
+                    k2.append(combined_rows(windows, 7).view(np.int64))
+                if ids:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, held, k1, k2)], ["doc_id", "start", "k1", "k2"])
+
+    return docs.select("doc_id", "text").join(wanted, "doc_id").select("doc_id", "text", "starts").mapInArrow(lean(run), "doc_id long, start int, k1 long, k2 long")
+
+
+def passages(windows: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, start, n, root): the stretches of words that earlier documents have, each with the place of its first occurrence.
+
+    Winnowed windows that documents share are seeds only. Around them every window counts, in all documents that have the
+    seed, not only the first: an earlier one may share less of the passage than a later one. Windows that go on in their
+    document and in the same keeper side by side are one stretch.
+    """
+    keys = ["k1", "k2"]
+    shared = windows.groupBy(*keys).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select(*keys)
+    every = written(around(docs, windows.select("doc_id", "start", *keys).join(shared, keys)), "windows")
+    first = every.groupBy(*keys).agg(F.min(F.struct("doc_id", "start")).alias("root"), F.max("doc_id").alias("hi")).where("hi <> root.doc_id").drop("hi")
+    hits = every.join(first, keys).where("doc_id <> root.doc_id").select("doc_id", "start", "root", (F.col("root.start") - F.col("start")).alias("shift"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = hits.repartition(parts, "doc_id").withColumn("run", F.expr("start - dense_rank() over (partition by doc_id, root.doc_id, shift order by start)"))
+    runs = rows.groupBy("doc_id", F.col("root.doc_id").alias("keeper"), "shift", "run").agg(F.min("start").alias("start"), F.max("start").alias("last"))
+    return runs.select("doc_id", "start", (F.col("last") - F.col("start") + WINDOW).alias("n"), F.struct(F.col("keeper").alias("doc_id"), (F.col("start") + F.col("shift")).alias("start")).alias("root"))
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """One row per document: (doc_id, class_id, n_words, n_removed, keepers, spans).
 
     Words are stretches between ASCII blanks, A-Z in lower case. A paragraph repeats if another document has an equal window
-    of WINDOW words, or a line whose five-word shingles have a Jaccard similarity of SIMILAR or more, directly or over other
+    of WINDOW words at a winnowed place, with all that is equal around it (so a passage of WINDOW + AHEAD + 1 equal words or
+    more goes whole), or a line whose five-word shingles have a Jaccard similarity of SIMILAR or more, directly or over other
     lines. The first occurrence of a class (smallest doc_id, then place) stays; spans are the paragraphs to remove elsewhere,
     each with the place that is kept: first and end word, keeper's doc_id and first word. n_removed counts the words that
     spans cover, keepers are the documents that keep them, class_id the smallest of those, the own doc_id if nothing goes.
@@ -246,8 +299,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     here = F.struct("doc_id", "start")
     named = path_rows.where("doc_id is not null")
     windows, lines = (named.where(F.col("kind") == k).drop("kind") for k in (1, 2))
-    first = windows.groupBy("k1", "k2").agg(F.count("*").alias("c"), F.min(here).alias("root")).where("c > 1").drop("c")
-    hits = windows.select("doc_id", "start", "n", "k1", "k2").join(first, ["k1", "k2"]).where("doc_id <> root.doc_id").select("doc_id", "start", "n", "root")
+    hits = passages(windows, docs)
     roots = line_roots(lines, docs)
     reps = lines.groupBy("k1", "k2").agg(F.count("*").alias("c"), F.min(here).alias("rep"))
     reps = reps.join(roots, "rep", "left").where("c > 1 or root is not null").select("k1", "k2", F.coalesce("root", "rep").alias("root"))

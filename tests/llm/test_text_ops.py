@@ -309,6 +309,28 @@ def test_repeats(spark):
     assert left[6] == "" and left[1] == texts[1] and len(left[2].split()) == got[2].n_words - got[2].n_removed and left[8] is None
 
 
+def test_passages_inside_other_text_go_whole(spark):
+    r = random.Random(22)
+    pool = [f"{a}{b}{c}" for a in "abcdef" for b in POOL for c in "xyz"]
+    texts, want = [], {}
+    for n in (51, 52, 60, 75, 100, 200):
+        for before, after in ((0, 0), (1, 90), (70, 2), (45, 45)):
+            passage = [f"p{len(texts)}x{k}" for k in range(n)]
+            texts.append(" ".join([*r.choices(pool, k=80), *passage, *r.choices(pool, k=40)]))
+            want[len(texts)] = (before, before + n, len(texts) - 1, 80)
+            texts.append("\n".join([*(["\t".join(r.choices(pool, k=before))] if before else []), " ".join(passage[:7]), " ".join(passage[7:]).upper(), *r.choices(pool, k=after)]))
+    # the first document with a seed has less of the passage than the second
+    passage = [f"q{k}" for k in range(150)]
+    at = len(texts)
+    texts += [" ".join([*r.choices(pool, k=30), *p, *r.choices(pool, k=30)]) for p in (passage[50:110], passage, passage)]
+    got = {x.doc_id: x for x in substring_dedup.repeats(docs(spark, texts)).collect()}
+    for i, span in want.items():
+        assert got[i].n_removed == span[1] - span[0], span
+        assert span in [tuple(s) for s in got[i].spans]
+    assert {i for i, x in got.items() if x.n_removed} == {*want, at + 1, at + 2}
+    assert got[at + 1].n_removed == 60 and got[at + 2].n_removed == 150 and list(got[at + 2].keepers) == [at, at + 1]
+
+
 def test_every_long_passage_has_a_shared_window():
     r = random.Random(10)
     for _ in range(40):
