@@ -189,12 +189,11 @@ class Scanner:
         self.stems = shortest_stems({*self.by_keyword, *(p for _, _, p in self.base)})
 
     def scan(self, text: bytes) -> dict:
-        plain = text.translate(WORD_BYTES)
-        words = plain.split()
+        words = text.translate(WORD_BYTES).split()
         out = {"n_words": len(words), "n_base": 0, "first_word": None, "last_word": None, "base_labels": "", "labels": "", "score": 0.0, "spans": []}
-        if not any(stem in plain for stem in self.stems):
+        line = b" ".join(words)  # stems hold spaces, so they are looked for where one space parts any two words
+        if not any(stem in line for stem in self.stems):
             return out
-        line = b" ".join(words)
         found = {word for _, word in self.keywords.iter(line.decode("utf-8", "replace"))}
         if not found:
             return out

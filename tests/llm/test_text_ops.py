@@ -121,6 +121,20 @@ def test_rules(text, labels):
     assert license_scan.Scanner().scan(text.encode())["labels"] == labels
 
 
+def test_words_stand_next_to_each_other_whatever_parts_them():
+    scan = license_scan.Scanner().scan
+    for phrase, label in license_scan.BASE.items():
+        for between in ("  ", ", ", "\r\n", " - ", "\n    * "):
+            for text in (phrase.replace(" ", between), f"({phrase.upper().replace(' ', between)}) Ann"):
+                got = scan(text.encode())
+                assert (got["n_base"], got["first_word"], got["base_labels"]) == (1, 0, label), text
+    for stem in filter(lambda x: b" " in x, license_scan.Scanner().stems):
+        for rule in license_scan.Scanner().by_keyword.get(stem, ()):
+            if re.fullmatch(rb"[a-z0-9 ]+", body := rule.pattern.pattern.replace(rb"(?:(?<= )|(?<=^))", b"").replace(rb"(?= |$)", b"")):
+                assert scan(body.replace(b" ", b" \n"))["labels"] == scan(body)["labels"] != "", body
+    assert scan(b"(cc) by Ann")["n_base"] == 1 and scan(b"into the public  \n domain")["labels"] == "public-domain"
+
+
 def test_contained_hits_go():
     h = license_scan.Hit
     assert license_scan.resolve([h(0, 9, 50, "a"), h(2, 5, 50, "b"), h(2, 5, 90, "c"), h(4, 12, 10, "d"), h(5, 9, 10, "e")]) == [h(0, 9, 50, "a"), h(2, 5, 90, "c"), h(4, 12, 10, "d")]
