@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm import decontaminate, language_id, line_dedup, sentencepieces, simhash
+from strandline.llm import decontaminate, language_id, line_dedup, sentencepieces, simhash, substring_dedup
 from strandline.llm.common import MODEL, documents, for_texts, written
 
 #: The stages up to the last return these columns; n_chars is that of the text as it then is.
@@ -24,8 +24,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one of the smallest doc_id."""
-    return simhash.deduplicated(for_texts(docs).select(*COLUMNS))
+    """One document of each group of near duplicates, the one of the smallest doc_id.
+
+    Near duplicates have SimHash codes within 4 bits, or five-word shingles of Jaccard similarity 0.8 or more: most copies of
+    that similarity are more than 4 bits apart.
+    """
+    docs = for_texts(docs).select(*COLUMNS)
+    return simhash.deduplicated(docs, links=substring_dedup.near_copies(docs))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

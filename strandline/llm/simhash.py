@@ -189,13 +189,18 @@ def near_duplicates(docs: DataFrame, limit: int = 4, width: int = 4) -> DataFram
     return fps.join(near_components(fps, limit), "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def deduplicated(docs: DataFrame, limit: int = 4, width: int = 4) -> DataFrame:
+def deduplicated(docs: DataFrame, limit: int = 4, width: int = 4, links: DataFrame | None = None) -> DataFrame:
     """One row of each group of near duplicates, with all its columns: the one of the smallest doc_id.
 
-    Of rows that share a doc_id one stays, the smallest by text. Rows without a doc_id cannot be told apart and stay.
+    ``links`` (doc_id, root) join documents that are near duplicates by another measure too; groups hold what both kinds of
+    links reach. Of rows that share a doc_id one stays, the smallest by text. Rows without a doc_id cannot be told apart and stay.
     """
     found = written(near_duplicates(docs, limit, width), "near-duplicates", few(docs))
-    lost = found.where("doc_id <> component_id").select("doc_id").distinct()
+    if links is None:
+        lost = found.where("doc_id <> component_id").select("doc_id").distinct()
+    else:
+        both = found.select("doc_id", "component_id").union(links.select("doc_id", "root")).toDF("a", "b")
+        lost = components(both).where("node <> root").select(F.col("node").alias("doc_id")).distinct()
     kept = docs.join(lost, "doc_id", "left_anti").select(*docs.columns)
     again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1").select("doc_id")
     if again.isEmpty():

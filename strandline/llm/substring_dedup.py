@@ -231,6 +231,40 @@ def line_roots(lines: DataFrame, docs: DataFrame) -> DataFrame:
     return components(edges).select(F.col("node").alias("rep"), "root")
 
 
+def near_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, root): documents whose five-word shingles have a Jaccard similarity of SIMILAR or more with another's, directly
+    or over others, and the smallest doc_id of them.
+
+    Pairs meet as lines do in ``repeats``: by MinHash bands, then exactly. Texts with equal words count once, as the one of the
+    smallest doc_id; the others, texts with fewer words than a shingle and rows without a doc_id are not returned.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                held, words, digests = [], [], []
+                ends = [0]
+                for i, x in enumerate(part.column(1).cast(pa.large_binary())):
+                    own = (x.as_py() or b"").lower().split()
+                    if len(own) >= SHINGLE:
+                        held.append(i)
+                        words += own
+                        ends.append(len(words))
+                        digests.append(xxhash.xxh3_128_digest(b" ".join(own)))
+                if held:
+                    cuts = np.array(ends, np.int64)
+                    keys = bands(combined(hashed(words), SHINGLE, 1), cuts[:-1], cuts[1:] - SHINGLE + 1)
+                    ids = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(held) + 1) * BANDS, pa.int32()), pa.array(keys.ravel().view(np.int64)))
+                    columns = [part.column(0).take(pa.array(held)), pa.array(np.zeros(len(held)), pa.int32()), pa.array(np.diff(cuts), pa.int32()), pa.array(ids[:, 0]), pa.array(ids[:, 1]), lists]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n", "k1", "k2", "bands"])
+
+    docs = docs.select("doc_id", "text").where("doc_id is not null")
+    texts = docs.mapInArrow(lean(run), "doc_id long, start int, n int, k1 long, k2 long, bands array<long>")
+    return line_roots(texts, docs).select("rep.doc_id", F.col("root.doc_id").alias("root"))
+
+
 def around(docs: DataFrame, seeds: DataFrame) -> DataFrame:
     """(doc_id, start, k1, k2): every window of the documents that starts within REACH places of a seed (doc_id, start)."""
     wanted = seeds.groupBy("doc_id").agg(F.collect_set("start").alias("starts"))

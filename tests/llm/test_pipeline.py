@@ -90,6 +90,29 @@ def test_stages_return_the_columns_of_documents(spark, corpus, tmp_path):
     assert near.where("doc_id = 0").count() == 1 and near.where("doc_id is null").count() == 2
 
 
+def test_near_duplicates_of_similarity_0_8_go(spark, tmp_path):
+    r = random.Random(23)
+    grams = lambda t: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)}
+    likeness = lambda a, b: len(grams(a) & grams(b)) / len(grams(a) | grams(b))
+    texts, lost, apart = [], set(), 0
+    for k in range(30):
+        words = [f"{r.choice(POOL)}{k}x{i}" for i in range(200)]
+        texts.append(" ".join(words))
+        edited = list(words)
+        for i in r.sample(range(10, 190, 10), 4 if k % 2 else 9):
+            edited[i] = f"new{k}x{i}"
+        texts.append(" \n".join(edited).upper())
+        if likeness(texts[-2], texts[-1].lower()) >= 0.8:
+            lost.add(len(texts) - 1)
+            apart += (plain_simhash(texts[-2]) ^ plain_simhash(texts[-1])).bit_count() > 4
+    assert len(lost) == 15 and apart > 5
+    linked = plain_components([plain_simhash(t) for t in texts], 4)
+    texts += [None, "", "a b c", "a b c d"]
+    rows = [(i, t, "aa", "src", len(t or "")) for i, t in enumerate(texts)]
+    left = {x.doc_id for x in corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, COLUMNS), str(tmp_path)).collect()}
+    assert left == set(range(len(texts))) - lost - {i for i, c in enumerate(linked) if c != i} - {61}
+
+
 @pytest.mark.skipif(not SF.exists(), reason="no test tables")
 @pytest.mark.parametrize("name", sorted(queries.QUERIES))
 def test_registered_queries(spark, name):
