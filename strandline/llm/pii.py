@@ -157,15 +157,57 @@ def mail(text: str, key: bytes) -> str | None:
     return re.sub("[A-Za-z]+|[0-9]+", run, name) + "@" + domain
 
 
-# Kinds in the order in which they claim a stretch of text: pattern, and what checks and replaces it (None: not valid).
+#: How card numbers are written: one token, or groups with one separator.
+CARD_FORM = re.compile(r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}")
+IBAN_FORM = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
+TOKEN = re.compile(r"[A-Z0-9]+")
+
+
+def stretches(run: str, most: int) -> Iterator[tuple[int, int]]:
+    """The stretches of whole tokens in a run, of at most ``most`` letters and digits: from each token on, the longest first."""
+    places = [m.span() for m in TOKEN.finditer(run)]
+    for i, (a, _) in enumerate(places):
+        ends, n = [], 0
+        for c, b in places[i:]:
+            n += b - c
+            if n > most:
+                break
+            ends.append(b)
+        yield from ((a, b) for b in reversed(ends))
+
+
+def card_readings(run: str) -> Iterator[tuple[int, int]]:
+    """Numbers as cards are written first, from the left, then what one greedy reading after another takes."""
+    yield from (x for x in stretches(run, 19) if CARD_FORM.fullmatch(run, *x))
+    yield from (m.span() for m in GREEDY_CARD.finditer(run))
+
+
+def other_card_readings(run: str) -> Iterator[tuple[int, int]]:
+    """All stretches of tokens, the longest first."""
+    yield from sorted(stretches(run, 19), key=lambda x: (x[0] - x[1], x[0]))
+
+
+def iban_readings(run: str) -> Iterator[tuple[int, int]]:
+    yield from (x for x in stretches(run, 34) if IBAN_FORM.fullmatch(run, *x))
+
+
+GREEDY_CARD = re.compile(r"(?<![0-9-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9-])")
+#: A whole chain of tokens, in which a number may have neighbours.
+CARD_RUN = re.compile(r"(?<![\w.-])(?=[0-9](?:[ -]?[0-9]){12})[0-9]+(?:[ -][0-9]+)*(?![\w-])", re.ASCII)
+#: Kinds whose pattern gives a run: the stretches of it to check, in the order of preference. A stretch that is valid is taken.
+READINGS: dict[str, list[Callable[[str], Iterator[tuple[int, int]]]]] = {"iban": [iban_readings], "card": [card_readings, other_card_readings]}
+
+# Kinds in the order in which they claim a stretch of text: pattern, and what checks and replaces it (None: not valid). A kind
+# that stands twice takes its next READINGS, from what the kinds between have left.
 KINDS: list[tuple[str, str, re.Pattern[str], Callable[[str, bytes], str | None]]] = [
     ("email", "@", re.compile(r"(?<![\w.+%-])[A-Za-z0-9][\w.+%-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![\w-])", re.ASCII), mail),
-    ("iban", "", re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"), iban),
-    ("card", "", re.compile(r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"), card),
+    ("iban", "", re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}[A-Z0-9]*(?: [A-Z0-9]+)*(?!\w)"), iban),
+    ("card", "", CARD_RUN, card),
     ("ip", "", re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.\w)"), address),
     ("ssn", "", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"), ssn),
     ("date", "", re.compile(r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![\w/-]|\.[0-9])"), date),
     ("phone", "", re.compile(r"(?<![\w.+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}([.-])[0-9]{3}\1[0-9]{4})(?!\w|[.-][0-9])"), phone),
+    ("card", "", CARD_RUN, card),
 ]
 DIGIT = re.compile("[0-9]")
 
@@ -175,14 +217,21 @@ def pseudonymized(text: str, key: bytes) -> tuple[str, list[str]]:
     if not DIGIT.search(text) and "@" not in text:
         return text, []
     taken: list[tuple[int, int, str, str]] = []
+    claimed = bytearray(len(text))
+    turn: dict[str, int] = {}
     for kind, needs, pattern, replace in KINDS:
         if needs not in text:
             continue
+        readings = READINGS.get(kind, [lambda run: [(0, len(run))]])[turn.get(kind, 0)]
+        turn[kind] = turn.get(kind, 0) + 1
         for m in pattern.finditer(text):
-            if all(m.end() <= a or b <= m.start() for a, b, _, _ in taken):
-                new = replace(m[0], key)
-                if new is not None:
-                    taken.append((m.start(), m.end(), kind, new))
+            for a, b in readings(m[0]):
+                a, b = m.start() + a, m.start() + b
+                if claimed.find(1, a, b) < 0:
+                    new = replace(text[a:b], key)
+                    if new is not None:
+                        taken.append((a, b, kind, new))
+                        claimed[a:b] = b"\1" * (b - a)
     out, at = [], 0
     taken.sort()
     for a, b, _, new in taken:
@@ -195,7 +244,8 @@ def pseudonymize(docs: DataFrame, key: bytes) -> DataFrame:
     """(doc_id, text, n_private, kinds): every text with its personal values replaced, how many, and the kinds found, sorted.
 
     Replaced are mail names, IBANs, payment cards, IPv4 addresses, US social security numbers, dates and phone numbers that
-    pass the checks of their kind; each becomes another valid value of its format. The same value has the same pseudonym in
+    pass the checks of their kind; where a chain of number tokens fails as a whole, shorter stretches of its tokens are tried,
+    so a neighbour (an expiry, a list number) hides no card or IBAN, and a table of bare numbers may hold some by chance. Each becomes another valid value of its format. The same value has the same pseudonym in
     every text under one key, and two values never share one, whatever separators they are written with. Null stays null with nothing found; empty stays empty. Equal rows come
     out as often as they come in; a null doc_id stays null; other columns are ignored. Nothing is shuffled.
     """

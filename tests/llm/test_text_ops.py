@@ -409,6 +409,26 @@ def test_invalid_values_stay(value):
     assert pii.pseudonymized(f"see {value} ok", b"k") == (f"see {value} ok", [])
 
 
+@pytest.mark.parametrize(("kind", "value", "text"), [
+    ("card", "4111 1111 1111 1111", "{} 123"), ("card", "4111111111111111", "{} 12/27"), ("card", "4111111111111111", "7 {}"), ("card", "4111-1111-1111-1111", "{}-123"),
+    ("card", "4111 1111 1111 1111", "12 34 {} 56 7"), ("card", "378282246310005", "1 {} 1234"), ("card", "3782 822463 10005", "22 {} 333"), ("card", "41111111 11111111", "{} 124"),
+    ("iban", "BE68 5390 0754 7034", "{} BIC"), ("iban", "BE68 5390 0754 7034", "{} BANK"), ("iban", "BE68539007547034", "{} A"), ("iban", "DE89 3704 0044 0532 0130 00", "AB12 {} BIC XY"),
+])
+def test_neighbours_do_not_hide_a_number(kind, value, text):
+    alone, _ = pii.pseudonymized(f"see {value}, ok", b"k")
+    new, kinds = pii.pseudonymized(f"see {text.format(value)}, ok", b"k")
+    assert kinds == [kind] and new == f"see {text.format(alone[4:-4])}, ok" and value not in new
+
+
+def test_numbers_next_to_each_other():
+    for values in (["4111111111111111", "4418452524842581"], ["4111 1111 1111 1111", "4418 4525 2484 2581", "378282246310005"]):
+        new, kinds = pii.pseudonymized(" ".join(values), b"k")
+        assert kinds == ["card"] * len(values) and new == " ".join(pii.pseudonymized(x, b"k")[0] for x in values)
+    assert pii.pseudonymized("123-45-6789 2001-02-28 4111111111111111", b"k")[1] == ["ssn", "date", "card"]
+    long = " ".join(str(i) for i in range(20_000))
+    assert len(pii.pseudonymized(long, b"k")[0]) == len(long)
+
+
 def test_equal_values_stay_linked(spark):
     texts = ["4418452524842581 a", "b 4418-4525-2484-2581", "c 4418452524842581 and 10.0.0.1", *ODD]
     got = {x.doc_id: x for x in pii.pseudonymize(docs(spark, texts), b"k").collect()}
