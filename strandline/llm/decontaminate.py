@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -37,7 +38,8 @@ def tiles(pattern: list[int], text: list[int], least: int, first: int = 20) -> l
     """Tiles (start in pattern, start in text, length) of at least ``least`` tokens, none overlapping in either string.
 
     From long search lengths to short: windows of unmarked tokens meet by their running hash, are extended token by token, and
-    the longest matches are marked first. A match over twice the search length restarts the search with its own length.
+    the longest matches are marked first, of equal ones the first in the pattern, then in the text. What a marked tile leaves
+    free of another match is a match of its own, so no match of ``least`` unmarked tokens is left. A match over twice the search length restarts the search with its own length.
     """
     free_p, free_t = bytearray(b"\1" * len(pattern)), bytearray(b"\1" * len(text))
     found: list[tuple[int, int, int]] = []
@@ -47,26 +49,34 @@ def tiles(pattern: list[int], text: list[int], least: int, first: int = 20) -> l
         for i, h in enumerate(running_hashes(pattern, width)):
             if free_p.find(0, i, i + width) < 0:
                 windows[h].append(i)
-        by_length: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        matches: list[tuple[int, int, int]] = []
         longer = 0
         for j, h in enumerate(running_hashes(text, width)):
             if h in windows and free_t.find(0, j, j + width) < 0:
                 for i in windows[h]:
+                    if i and j and pattern[i - 1] == text[j - 1] and free_p[i - 1] and free_t[j - 1]:
+                        continue  # inside a match that begins before it
                     n = 0
                     while i + n < len(pattern) and j + n < len(text) and pattern[i + n] == text[j + n] and free_p[i + n] and free_t[j + n]:
                         n += 1
                     if n > 2 * width:
                         longer = max(longer, n)
                     if n >= width:
-                        by_length[n].append((i, j))
+                        matches.append((-n, i, j))
         if longer:
             width = longer
             continue
-        for n in sorted(by_length, reverse=True):
-            for i, j in by_length[n]:
-                if free_p.find(0, i, i + n) < 0 and free_t.find(0, j, j + n) < 0:
-                    free_p[i : i + n] = free_t[j : j + n] = bytes(n)
-                    found.append((i, j, n))
+        heapq.heapify(matches)
+        while matches:
+            n, i, j = heapq.heappop(matches)
+            n = -n
+            free = bytes(a & b for a, b in zip(free_p[i : i + n], free_t[j : j + n], strict=True))
+            if 0 not in free:
+                free_p[i : i + n] = free_t[j : j + n] = bytes(n)
+                found.append((i, j, n))
+                continue
+            for piece in re.finditer(b"\1{%d,}" % width, free):  # what longer tiles have left of it waits for its turn
+                heapq.heappush(matches, (piece.start() - piece.end(), i + piece.start(), j + piece.start()))
         if width == least:
             return found
         width = max(least, width // 2)

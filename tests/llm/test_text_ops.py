@@ -66,6 +66,27 @@ def test_tiles_cover_what_plain_tiling_covers():
         assert bool(marked) == bool(want)
 
 
+def test_tiles_mark_what_plain_tiling_marks():
+    r = random.Random(6)
+    for _ in range(400):
+        p = [r.randrange(r.choice([3, 6, 40])) for _ in range(r.randrange(1, 45))]
+        t = [r.randrange(6) for _ in range(r.randrange(0, 20))]
+        for _ in range(r.randrange(5)):
+            a = r.randrange(len(p))
+            t[r.randrange(len(t) + 1) : 0] = p[a : a + r.randrange(3, 30)]
+        for first in (3, 8, 20):
+            assert sum(n for *_, n in decontaminate.tiles(p, t, 3, first=first)) == plain_tiles(p, t, 3)
+    item = list(range(1, 25))
+    assert sorted(decontaminate.tiles(item, [*item[:8], -1, *item[5:14]], 5)) == [(0, 0, 5), (5, 9, 9)]
+
+
+def test_overlapping_pieces_of_an_item_count(spark):
+    words = [f"w{k}" for k in range(24)]
+    bench = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    got = decontaminate.contamination(docs(spark, [" ".join([*words[:8], "and", *words[5:14]])]), bench).collect()
+    assert [(x.doc_id, x.item_id, x.matched, x.tiles) for x in got] == [(0, 7, 14, 2)]
+
+
 def test_running_hashes():
     r = random.Random(1)
     x = [r.randrange(1 << 40) for _ in range(50)]
