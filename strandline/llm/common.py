@@ -40,26 +40,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir); a temporary one only where that is unset."""
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir). Where that is unset, a local session
+    gets a temporary folder; on a cluster there is no folder that would do, and it is an error."""
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='strandline-')}"
         context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def splits(df: DataFrame) -> int:
-    """The partitions of a plan that only scans and maps, or else the number of shuffle partitions; runs no job."""
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.rdd.getNumPartitions()
-
-
-def few(source: DataFrame) -> int:
-    """A number of tasks for work that gains from fewer and larger ones (small results, caches): two a core, or an eighth
-    of the source's partitions if that is more."""
-    return max(2 * source.sparkSession.sparkContext.defaultParallelism, splits(source) // 8)
+def few(spark: SparkSession) -> int:
+    """Tasks for small tables that are made after a shuffle: two a core, or an eighth of the shuffle partitions if more."""
+    return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
 
 
 def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
@@ -69,6 +64,18 @@ def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared store and all in it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def dropped(df: DataFrame) -> None:
+    """Deletes a table that ``written`` made and that nothing will read again."""
+    for file in df.inputFiles()[:1]:
+        delete(df.sparkSession, file.rsplit("/", 1)[0])
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, all else as it is. Pure ASCII takes the fast path, where lower() is the same."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
@@ -79,17 +86,36 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), lambda x: body(x)), 1)
 
 
+#: Cut points that id_block takes from the ids themselves; a power of two, for the search.
+CUTS = 4096
+
+
 def id_block(df: DataFrame, rows_a_block: int, most: int, id_col: str = "doc_id") -> Column:
-    """An expression that deals ids into ordered blocks of equal width: ``id div width``.
+    """An expression that deals ids into ordered blocks of about ``rows_a_block`` rows, never more than ``most`` + CUTS blocks.
 
-    About ``rows_a_block`` rows each for dense ids, and never more than ``most`` + 1 blocks, so that a table with one row
-    a block has a proven bound. Costs one aggregate over the id column.
+    Up to CUTS quantiles of the ids (found to within a fraction of a block by one aggregate) are the borders, so ids that are
+    hashed, dense in places or far out make no large block; the search among them is a fold over the steps of a bisection.
+    Where more blocks are wanted than there are cuts, the stretch between two cuts is dealt evenly by width. A null id is in
+    the first block.
     """
-    n, lo, hi = df.agg(F.count("*"), F.min(id_col), F.max(id_col)).first()
+    n, lo, hi = df.agg(F.count(id_col), F.min(id_col), F.max(id_col)).first()
+    if not n or lo == hi:
+        return F.lit(0).cast("long")
     blocks = min(most, max(16, n // rows_a_block))
-    width = 1 if lo is None else max(1, math.ceil((hi - lo + 1) / blocks))
-    low = 0 if lo is None else lo
-    return F.expr(f"coalesce({id_col}, {low}L) div {width}L")
+    parts = min(CUTS, blocks)
+    cuts = df.agg(F.percentile_approx(id_col, [k / parts for k in range(1, parts)], 8 * CUTS)).first()[0]
+    cuts = [lo, *sorted({c for c in cuts if c > lo})]
+    table = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<long>")
+    own = F.coalesce(F.col(id_col), F.lit(lo))
+    steps = F.array(*[F.lit(CUTS >> k) for k in range(1, CUTS.bit_length())])
+    at = F.aggregate(steps, F.lit(0), lambda p, s: F.when((p + s < len(cuts)) & (F.get(table, p + s) <= own), p + s).otherwise(p))
+    inner = -(-blocks // parts)
+    if inner == 1:
+        return at.cast("long")
+    # 2**63 and more between two cuts would overflow: halves do not
+    low, high = F.get(table, at), F.coalesce(F.get(table, at + 1), F.lit(hi))
+    share = F.least(F.lit(inner - 1), F.floor(((own / 2 - low / 2) / F.greatest(high / 2 - low / 2, F.lit(0.5))) * inner))
+    return at.cast("long") * inner + share
 
 
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -112,17 +138,58 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
     return leaving
 
 
-def split_hot(rows: DataFrame, keys: list[str], item: str, most: int) -> DataFrame:
-    """Adds ``lo`` and ``hi``: rows that meet in a (keys, lo, hi) group are those to be compared with each other.
+#: A key with more than one in HOT of all rows is hot, so there are fewer than HOT hot keys, whatever the input.
+HOT = 1000
+
 
-    A key with up to ``most`` rows is one group. A larger one is cut in slices by the item's hash, and each pair of slices is
-    a group of its own, so that every two rows of a key still meet and no task holds more than about two slices.
+def joined_to_one(rows: DataFrame, ones: DataFrame, keys: list[str], count: str, spread: str) -> DataFrame:
+    """rows left-joined to ``ones``, which has one row a key and says in ``count`` how many rows at least have the key.
+
+    Hot keys are joined from a broadcast of fewer than HOT rows, and their rows are dealt by ``spread`` in place of the key
+    for the shuffled join of the rest; so no task gets all rows of a key. ``ones`` is read twice: give a written table.
+    """
+    total = ones.agg(F.sum(count)).first()[0] or 0
+    values = [c for c in ones.columns if c not in keys]
+    hot = ones.where(F.col(count) > total / HOT).select(*keys, F.struct(*values).alias("_hot"))
+    known = rows.join(F.broadcast(hot), keys, "left")
+    other = ones.where(F.col(count) <= total / HOT).select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(*values).alias("_cold"))
+    dealt = F.when(F.col("_hot").isNull(), F.col(keys[0])).otherwise(F.xxhash64(spread))
+    same = F.col("_hot").isNull() & (F.col("_deal") == F.col(f"_{keys[0]}"))
+    for k in keys[1:]:
+        same &= F.col(k) == F.col(f"_{k}")
+    met = known.withColumn("_deal", dealt).join(other, same, "left")
+    found = F.coalesce("_hot", "_cold")
+    return met.select(*rows.columns, *[found[v].alias(v) for v in values])
+
+
+def split_hot(rows: DataFrame, keys: list[str], item: str, most: int, near: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
+    """Rows to be compared, with ``lo`` and ``hi``, and the links (item, rep) that are found on the way.
+
+    Rows that meet in a (keys, lo, hi) group are to be compared. A key with up to ``most`` rows is one group. Of a larger one,
+    the smallest item is the representative: what is near() it is linked to it and is one class already. Only pairs with a row
+    that is far from it are left. So the near rows are dealt into slices, once each, and the far ones meet every slice; if
+    even the far ones are many, they are sliced too, and slices meet pair by pair. No task holds more than two slices, and a
+    large group of near copies is not multiplied. ``linked`` tells rows of the representative's class.
     """
-    large = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > most)
-    cut = rows.join(large, keys, "left").withColumn("_s", F.ceil(F.coalesce("_n", F.lit(1)) / most).cast("int"))
-    own = cut.withColumn("_own", F.pmod(F.xxhash64(item), F.col("_s")).cast("int"))
-    other = own.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)))
-    return other.withColumns({"lo": F.least("_own", "_other"), "hi": F.greatest("_own", "_other")}).drop("_n", "_s", "_own", "_other")
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(F.struct(item, *[c for c in rows.columns if c not in (*keys, item)])).alias("_rep")).where(F.col("_n") > most)
+    if counted.isEmpty():
+        none = rows.where("false").select(F.col(item).alias("item"), F.col(item).alias("rep"))
+        return rows.withColumns({"lo": F.lit(0), "hi": F.lit(0), "linked": F.lit(False)}), none
+    large = written(counted, "hot-keys")
+    # one row a key and salt: a slice's rows meet the representative in a task of their own
+    salted = large.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_n") / most).cast("int") - 1)))
+    sliced = rows.join(large.select(*keys, "_n"), keys, "left").withColumn("_s", F.ceil(F.coalesce("_n", F.lit(1)) / most).cast("int"))
+    sliced = sliced.withColumn("_salt", F.pmod(F.xxhash64(item), F.col("_s")).cast("int"))
+    hot = written(sliced.where("_n is not null").drop("_n").join(salted.select(*keys, "_salt", "_rep"), [*keys, "_salt"]).withColumn("linked", near(F.col("_rep"))), "hot-rows")
+    far = hot.where("not linked").groupBy(*keys).agg(F.count("*").alias("_f")).withColumn("_fs", F.ceil(F.col("_f") / most).cast("int")).select(*keys, "_fs")
+    own = [c for c in rows.columns if c not in keys]
+    # slices of near rows are 0 to s - 1, those of far rows s to s + fs - 1; a group is a near and a far slice or two far ones
+    dealt = hot.join(far, keys).withColumn("_at", F.when(F.col("linked"), F.col("_salt")).otherwise(F.col("_s") + F.pmod(F.xxhash64(F.lit("far"), item), F.col("_fs")).cast("int")))
+    meets = F.when(F.col("linked"), F.sequence(F.col("_s"), F.col("_s") + F.col("_fs") - 1)).otherwise(F.sequence(F.lit(0), F.col("_s") + F.col("_fs") - 1))
+    met = dealt.withColumn("_with", F.explode(meets)).select(*keys, *own, F.least("_at", "_with").alias("lo"), F.greatest("_at", "_with").alias("hi"), "linked")
+    small = sliced.where("_n is null").select(*keys, *own, F.lit(0).alias("lo"), F.lit(0).alias("hi"), F.lit(False).alias("linked"))
+    links = hot.where("linked").select(F.col(item).alias("item"), F.col(f"_rep.{item}").alias("rep"))
+    return small.unionByName(met), links
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -154,7 +221,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Alternates the large-star and small-star steps until the edges are stars. Every round is one pair of aggregations with
     partial sums before the shuffle, written to the shared folder; nothing is collected but two numbers a round.
     """
-    files = few(edges)
+    files = few(edges.sparkSession)
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", files)
     mark = None
     for _ in range(most_rounds):
@@ -163,7 +230,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
-        now = written(small, "edges", files)
+        before, now = now, written(small, "edges", files)
+        dropped(before)
         new = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if new == mark:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import components, few, groups, lean, split_hot, written
+from strandline.llm.common import components, few, groups, joined_to_one, lean, split_hot, written
 
 BITS = 64
 #: Children of a node of the index.
@@ -101,11 +101,16 @@ class GrayIndex:
         return q, self.order[node]
 
 
-def forest(codes: np.ndarray, limit: int) -> list[tuple[int, int]]:
-    """Edges that join what the links within the limit join: at most one less than there are codes."""
+def forest(codes: np.ndarray, limit: int, linked: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Edges that join what the links within the limit join: at most one less than there are codes. ``linked`` codes are one
+    class already; only the others are looked up."""
     index = GrayIndex(codes)
     root = np.arange(len(codes))
-    parent = list(range(len(codes)))
+    asked = np.arange(len(codes))
+    if linked is not None and linked.any():
+        root[linked] = np.flatnonzero(linked)[0]
+        asked = np.flatnonzero(~linked)
+    parent = root.tolist()
 
     def find(i: int) -> int:
         while parent[i] != i:
@@ -114,9 +119,9 @@ def forest(codes: np.ndarray, limit: int) -> list[tuple[int, int]]:
         return i
 
     edges, at, step = [], 0, 8
-    while at < len(codes):
-        q, c = index.within(codes[at : at + step], limit)
-        q += at
+    while at < len(asked):
+        q, c = index.within(codes[asked[at : at + step]], limit)
+        q = asked[q + at]
         apart = root[q] != root[c]
         if apart.any():
             pairs = np.unique(np.sort(np.stack([root[q[apart]], root[c[apart]]], 1), axis=1), axis=0)
@@ -154,14 +159,14 @@ def near_components(fps: DataFrame, limit: int = 4) -> DataFrame:
     """(fp, component_id): for every fingerprint the smallest doc_id that links of at most ``limit`` bits reach.
 
     Equal fingerprints are one code with its smallest doc_id. Codes meet by each mask of masks(); within a key a Gray-order
-    index finds the pairs, and a task emits a spanning forest of them, never the pairs. A key with more than GROUP codes is
-    cut in slices that meet pair by pair, so a large group of near copies is dealt over many tasks.
+    index finds the pairs, and a task emits a spanning forest of them, never the pairs. Of a key with more than GROUP codes,
+    those within the limit of its smallest doc_id's code are linked to that at once; the others meet all slices of the key.
     """
-    codes = written(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "codes", few(fps))
+    codes = written(fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "codes", few(fps.sparkSession))
     keys = masks(limit, codes.count())
     mask = F.array(*[F.lit(signed(m)) for m in keys])
     rows = codes.select("fp", "rep", F.posexplode(mask).alias("m", "mask")).select("m", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp", "rep")
-    rows = split_hot(rows, ["m", "key"], "fp", GROUP)
+    rows, links = split_hot(rows, ["m", "key"], "rep", GROUP, lambda rep: F.bit_count(F.col("fp").bitwiseXOR(rep.fp)) <= limit)
     by = ["m", "key", "lo", "hi"]
     parts = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -169,12 +174,12 @@ def near_components(fps: DataFrame, limit: int = 4) -> DataFrame:
         for table in groups(batches, by):
             if table.num_rows > 1:
                 reps = table.column("rep").to_pylist()
-                edges = forest(table.column("fp").to_numpy().view(np.uint64), limit)
+                edges = forest(table.column("fp").to_numpy().view(np.uint64), limit, table.column("linked").to_numpy())
                 if edges:
                     yield pa.RecordBatch.from_pydict({"a": [reps[a] for a, _ in edges], "b": [reps[b] for _, b in edges]}, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    edges = rows.select(*by, "fp", "rep").repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(lean(link), "a long, b long")
-    found = components(edges)
+    edges = rows.select(*by, "fp", "rep", "linked").repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(lean(link), "a long, b long")
+    found = components(edges.unionAll(links.toDF("a", "b")))
     return codes.join(found, F.col("rep") == F.col("node"), "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
 
 
@@ -185,8 +190,11 @@ def near_duplicates(docs: DataFrame, limit: int = 4, width: int = 4) -> DataFram
     ``width`` words are one shingle. Equal rows come out as often as they come in; a null doc_id gets the component of its
     fingerprint, null if no other row has it. An empty table gives an empty result; other columns are ignored.
     """
-    fps = written(fingerprints(docs, width), "fingerprints", few(docs))
-    return fps.join(near_components(fps, limit), "fp", "left").select("doc_id", "fp", "component_id")
+    fps = written(fingerprints(docs, width), "fingerprints")
+    found = near_components(fps, limit)
+    counts = fps.groupBy("fp").agg(F.count("*").alias("c"))
+    found = written(found.join(counts, "fp"), "fingerprint-classes", few(docs.sparkSession))
+    return joined_to_one(fps.withColumn("_spread", F.xxhash64("doc_id")), found, ["fp"], "c", "_spread").select("doc_id", "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, limit: int = 4, width: int = 4, links: DataFrame | None = None) -> DataFrame:
@@ -195,7 +203,7 @@ def deduplicated(docs: DataFrame, limit: int = 4, width: int = 4, links: DataFra
     ``links`` (doc_id, root) join documents that are near duplicates by another measure too; groups hold what both kinds of
     links reach. Of rows that share a doc_id one stays, the smallest by text. Rows without a doc_id cannot be told apart and stay.
     """
-    found = written(near_duplicates(docs, limit, width), "near-duplicates", few(docs))
+    found = written(near_duplicates(docs, limit, width), "near-duplicates", few(docs.sparkSession))
     if links is None:
         lost = found.where("doc_id <> component_id").select("doc_id").distinct()
     else:

@@ -4,13 +4,14 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from strandline.llm import fingerprint, line_dedup, sharding, simhash
-from strandline.llm.common import components
+from strandline.llm.common import components, id_block, joined_to_one
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, fp string, b long"
 
@@ -47,8 +48,57 @@ def test_line_dedup(spark, texts):
         assert got == want
 
 
+def test_rows_that_share_an_id_are_one_document(spark):
+    duckdb = pytest.importorskip("duckdb")
+    from strandline.llm.queries import ORACLE_SQL
+
+    line, other, third = "a line that is long enough to be looked at " * 2, "B" * 50, "é" * 40
+    rows = [*[(1, f"{line}\n{other}")] * 5, (2, line), (3, other), (4, f"{other}\nx"), (None, other), (None, f"{other}\n{other}"), *[(i, third) for i in (5, 6, 7, 7)], (None, third), (8, None)]
+    df = spark.createDataFrame([(i, t, None, None, None, "x", "y", 3) for i, t in rows], SCHEMA)
+    con = duckdb.connect()
+    con.register("documents", df.select("doc_id", "text").toPandas().astype({"doc_id": "Int64"}))
+    want = con.execute(ORACLE_SQL["op6_line_dedup"]).fetchall()
+    got = line_dedup.dedup_lines(df).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert sum(x.n_dropped for x in got) == 0  # four documents hold each
+    more = df.unionAll(df.limit(1).selectExpr("9l as doc_id", "text", "lang", "source", "n_chars", "key", "fp", "b"))
+    assert {x.doc_id: x.n_dropped for x in line_dedup.dedup_lines(more).collect()} == {1: 1, 2: 0, 3: 1, 4: 1, None: 0, 5: 0, 6: 0, 7: 0, 8: 0, 9: 0} | {None: 0}
+
+
+def test_a_store_goes_on(spark, texts, tmp_path):
+    whole = {r[0]: tuple(r)[1:] for r in line_dedup.dedup_lines(docs(spark, texts)).collect()}
+    half = len(texts) // 2
+    path = f"file://{tmp_path}/store"
+    one = line_dedup.dedup_lines(docs(spark, texts[half:], list(range(half, len(texts)))), store=path).collect()
+    two = line_dedup.dedup_lines(docs(spark, texts[:half]), store=path).collect()
+    # lines that only both batches together make frequent stay in the batch that came first
+    assert {r[0]: tuple(r)[1:] for r in two} == {i: whole[i] for i in range(half)} and sum(r.n_dropped for r in two) > 0
+    assert all(r.n_dropped <= whole[r.doc_id][2] for r in one)
+    again = line_dedup.dedup_lines(docs(spark, texts[:half], list(range(1000, 1000 + half))), store=path).collect()
+    assert sum(r.n_dropped for r in again) >= sum(r.n_dropped for r in two)
+
+
+def test_blocks_are_even_however_ids_lie(spark):
+    r = random.Random(6)
+    for ids in ([*range(2000), 2**60], [r.getrandbits(63) - 2**62 for _ in range(3000)], [2**40 + i // 3 for i in range(3000)], [*range(500), *range(10**15, 10**15 + 500), -(2**63), 2**63 - 1, None], [7] * 50, [None] * 5):
+        df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+        block = id_block(df, 50, 10_000)
+        got = df.select("doc_id", block.alias("b")).collect()
+        known = sorted((x.doc_id, x.b) for x in got if x.doc_id is not None)
+        assert [b for _, b in known] == sorted(b for _, b in known)
+        sizes = Counter(b for _, b in known)
+        assert max(sizes.values(), default=0) <= max(100, max(Counter(i for i in ids if i is not None).values(), default=0))
+
+
+def test_a_null_id_moves_no_other_row(spark):
+    ids = [2**60 + 3, 2**60 + 255, 2**62 + 1, -(2**62) - 1]
+    alone = {r.doc_id: r.shard for r in sharding.assign(docs(spark, ["x"] * 4, ids)).collect()}
+    beside = {r.doc_id: r.shard for r in sharding.assign(docs(spark, ["x"] * 5, [None, *ids]).coalesce(1)).collect()}
+    assert {i: beside[i] for i in ids} == alone
+
+
 def test_sharding(spark, texts):
-    ids = [None, *range(-3, len(texts) - 4)]
+    ids = [None, *range(-3, len(texts) - 5), 2**60 + 255]
     rows = sharding.assign(docs(spark, texts, ids), 8).collect()
     assert len(rows) == len(texts)
 
@@ -108,6 +158,16 @@ def test_links_are_all_found(spark, monkeypatch, most):
     assert [comp[simhash.signed(c)] for c in codes] == plain_components(codes, 4)
 
 
+def test_hot_keys_are_joined_from_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("strandline.llm.common.HOT", 10)
+    r = random.Random(4)
+    keys = [1] * 200 + [r.randrange(60) for _ in range(150)] + [None] * 5
+    rows = spark.createDataFrame([(k, None if k is None else k * 2, i) for i, k in enumerate(keys)], "a long, b long, i long")
+    ones = rows.where("a is not null and a < 50").groupBy("a", "b").count().withColumn("v", F.col("a") * 10)
+    got = sorted((x.i, x.v) for x in joined_to_one(rows, ones, ["a", "b"], "count", "i").collect())
+    assert got == [(i, k * 10 if k is not None and k < 50 else None) for i, k in enumerate(keys)]
+
+
 def test_masks_cover_all_differences():
     r = random.Random(2)
     for rows in (0, 10**4, 10**8, 10**12):

@@ -321,62 +321,121 @@ def test_nothing_to_learn_from(spark):
 
 # Substring dedup ------------------------------------------------------------------------------------------------------------
 
+WORDS = [f"{a}{b}{c}" for a in "abcdef" for b in POOL for c in "xyz"]
+
 
 def test_repeats(spark):
     r = random.Random(9)
-    pool = [f"{a}{b}{c}" for a in "abcdef" for b in POOL for c in "xyz"]
-    passage, para = prose(r, 55, pool), prose(r, 60, pool)
+    passage, para = prose(r, 55, WORDS), prose(r, 60, WORDS)
     words = para.split()
     words[30] = "changed"
     near = " ".join(words)
-    plain = [prose(r, 300, pool) for _ in range(6)]
+    plain = [prose(r, 300, WORDS) for _ in range(6)]
     texts = [
-        plain[0], f"{plain[1]} {passage} {plain[2]}", f"{prose(r, 80, pool)} {passage.upper()} {prose(r, 3, pool)}", f"{plain[3]}\n{para}", f"{near}\n{prose(r, 70, pool)}",
-        plain[4], plain[4], prose(r, 30, pool) + "\n" + prose(r, 12, pool), *ODD, f"{plain[5]}\n{plain[5]}",
+        plain[0], f"{plain[1]} {passage} {plain[2]}", f"{prose(r, 80, WORDS)} {passage.upper()} {prose(r, 3, WORDS)}", f"{plain[3]}\n{para}", f"{near}\n{prose(r, 70, WORDS)}",
+        plain[4], plain[4], prose(r, 30, WORDS) + "\n" + prose(r, 12, WORDS), *ODD, f"{plain[5]}\n{plain[5]}", plain[4], "word " * 7000 + passage, "odd even " * 4000,
     ]
-    got = {x.doc_id: x for x in substring_dedup.repeats(docs(spark, texts)).collect()}
-    assert len(got) == len(texts) and all(got[i].n_words == len((t or "").split()) for i, t in enumerate(texts))
-    assert {i: list(x.keepers) for i, x in got.items() if x.n_removed} == {2: [1], 4: [3], 6: [5]}
-    assert 20 <= got[2].n_removed <= 55 and got[4].n_removed == 60 and got[6].n_removed == 300 and got[6].class_id == 5
+    found = substring_dedup.repeats(docs(spark, texts))
+    got = {x.doc_id: x for x in found.collect()}
+    n = len(texts)
+    assert len(got) == n and all(got[i].n_words == len((t or "").split()) for i, t in enumerate(texts))
+    assert {i: list(x.keepers) for i, x in got.items() if x.n_removed} == {2: [1], 4: [3], 6: [5], n - 3: [5], n - 2: [1, 16]}
+    assert [got[i].n_removed for i in (2, 4, 6, n - 3, n - 2)] == [55, 60, 300, 300, 7055]
+    assert [got[i].class_id for i in (1, 2, 3, 4, 5, 6, 16, n - 3, n - 2)] == [1, 1, 3, 3, 5, 5, 1, 5, 1]
     for x in got.values():
         assert x.n_removed == len({k for s in x.spans for k in range(s["first"], s["end"])})
-    left = {x.doc_id: x.text for x in substring_dedup.removed(docs(spark, texts), substring_dedup.repeats(docs(spark, texts))).collect()}
-    assert left[6] == "" and left[1] == texts[1] and len(left[2].split()) == got[2].n_words - got[2].n_removed and left[8] is None
+    left = {x.doc_id: x.text for x in substring_dedup.removed(docs(spark, texts), found).collect()}
+    assert left[6] == "" and left[1] == texts[1] and left[8] is None
+    w = texts[2].split()
+    assert left[2].split() == w[:80] + w[135:] and left[4].split() == texts[4].split()[60:]
+    assert substring_dedup.repeats(docs(spark, [])).count() == 0
+
+
+def plain_repeats(texts):
+    """The words of each text that stand in PARAGRAPH equal words of an earlier one; every stretch of words is looked up."""
+    first, out = {}, []
+    for i, t in enumerate(texts):
+        w = t.lower().split()
+        gone = set()
+        for k in range(len(w) - substring_dedup.PARAGRAPH + 1):
+            if first.setdefault(tuple(w[k : k + substring_dedup.PARAGRAPH]), i) != i:
+                gone.update(range(k, k + substring_dedup.PARAGRAPH))
+        out.append(gone)
+    return out
 
 
-def test_passages_inside_other_text_go_whole(spark):
+def test_passages_go_whole_and_nothing_else(spark):
     r = random.Random(22)
-    pool = [f"{a}{b}{c}" for a in "abcdef" for b in POOL for c in "xyz"]
-    texts, want = [], {}
-    for n in (51, 52, 60, 75, 100, 200):
-        for before, after in ((0, 0), (1, 90), (70, 2), (45, 45)):
-            passage = [f"p{len(texts)}x{k}" for k in range(n)]
-            texts.append(" ".join([*r.choices(pool, k=80), *passage, *r.choices(pool, k=40)]))
-            want[len(texts)] = (before, before + n, len(texts) - 1, 80)
-            texts.append("\n".join([*(["\t".join(r.choices(pool, k=before))] if before else []), " ".join(passage[:7]), " ".join(passage[7:]).upper(), *r.choices(pool, k=after)]))
-    # the first document with a seed has less of the passage than the second
+    texts, planted = [], []
+    for case in range(500):
+        n = r.choice([30, 40, 49, 50, 51, 52, 55, 64, 80, 120, 200, 400])
+        passage = [f"p{case}x{k}" for k in range(n)]
+        for upper in (False, True):
+            around = [[r.choice(WORDS) + str(r.randrange(10**6)) for _ in range(r.choice([0, 1, 3, 20, 45, 90, 150]))] for _ in range(2)]
+            words = [*around[0], *passage, *around[1]]
+            texts.append("".join(w.upper() + r.choice([" ", " ", "\t", "\n"]) if upper else w + " " for w in words))
+        planted.append(n)
+    want = plain_repeats(texts)
+    got = {x.doc_id: x for x in substring_dedup.repeats(docs(spark, texts)).collect()}
+    for i in range(len(texts)):
+        assert {k for s in got[i].spans for k in range(s["first"], s["end"])} == want[i], (i, planted[i // 2])
+    assert sum(bool(w) for w in want) == sum(n >= 50 for n in planted)
+
+
+def test_an_earlier_document_may_have_less_of_a_passage(spark):
+    r = random.Random(23)
     passage = [f"q{k}" for k in range(150)]
-    at = len(texts)
-    texts += [" ".join([*r.choices(pool, k=30), *p, *r.choices(pool, k=30)]) for p in (passage[50:110], passage, passage)]
+    texts = [" ".join([*r.choices(WORDS, k=30), *p, *r.choices(WORDS, k=30)]) for p in (passage[50:110], passage, passage)]
     got = {x.doc_id: x for x in substring_dedup.repeats(docs(spark, texts)).collect()}
-    for i, span in want.items():
-        assert got[i].n_removed == span[1] - span[0], span
-        assert span in [tuple(s) for s in got[i].spans]
-    assert {i for i, x in got.items() if x.n_removed} == {*want, at + 1, at + 2}
-    assert got[at + 1].n_removed == 60 and got[at + 2].n_removed == 150 and list(got[at + 2].keepers) == [at, at + 1]
-
-
-def test_every_long_passage_has_a_shared_window():
-    r = random.Random(10)
-    for _ in range(40):
-        passage = [f"{r.random()}".encode() for _ in range(substring_dedup.WINDOW + substring_dedup.AHEAD + 1)]
-        found = []
-        for _ in range(2):
-            words = [f"{r.random()}".encode() for _ in range(r.randrange(0, 90))]
-            text = [*words, *passage, *[f"{r.random()}".encode() for _ in range(r.randrange(0, 90))]]
-            places = substring_dedup.anchors(substring_dedup.hashed(text), np.array([len(text)]))
-            found.append({p - len(words) for p in places.tolist() if len(words) <= p <= len(words) + len(passage) - substring_dedup.WINDOW})
-        assert found[0] & found[1]
+    assert [got[i].n_removed for i in range(3)] == [0, 60, 150] and list(got[2].keepers) == [0, 1]
+    assert {x.class_id for x in got.values()} == {0}
+
+
+def test_rows_that_share_an_id(spark):
+    r = random.Random(24)
+    a, b, c = (prose(r, 120, WORDS) for _ in range(3))
+    rows = [(1, a), (1, b), (1, b), (1, c), (2, f"x\n{b}"), (2, None), (3, f"{c} y {a}"), (None, a), (None, b), (3, "")]
+    df = spark.createDataFrame([(i, t, None, None, None, 5, "x", 1) for i, t in rows], SCHEMA)
+    found = substring_dedup.repeats(df)
+    got = sorted((x.doc_id or 0, x.n_words, x.n_removed, x.class_id) for x in found.collect())
+    assert got == sorted([(1, 120, 0, 1), (1, 120, 0, 1), (1, 120, 0, 1), (1, 120, 0, 1), (2, 121, 120, 1), (2, 0, 0, 1), (3, 241, 240, 1), (0, 120, 0, None), (0, 120, 0, None), (3, 0, 0, 1)])
+    left = sorted((x.doc_id or 0, x.text) for x in substring_dedup.removed(df, found).where("text is not null").collect())
+    assert left == sorted([(1, a), (1, b), (1, b), (1, c), (2, "x"), (3, " y"), (0, a), (0, b), (3, "")])
+
+
+@pytest.mark.parametrize("most", [1000, 3])
+def test_near_copies_are_what_all_pairs_give(spark, monkeypatch, most):
+    monkeypatch.setattr(substring_dedup, "GROUP", most)
+    r = random.Random(25)
+    texts = []
+    for _ in range(6):
+        words = r.choices(WORDS, k=r.choice([60, 100, 160]))
+        for _ in range(r.choice([1, 4, 14])):
+            own = list(words)
+            for _ in range(r.choice([0, 1, 2, 3])):
+                at = r.randrange(len(own))
+                own[at : at + 1] = r.choice([[], ["new"], ["new", own[at]]])
+            texts.append(r.choice([" ", "\n"]).join(own))
+            words = r.choice([words, own])
+    grams = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    root = list(range(len(texts)))
+    for _ in texts:
+        root = [min(root[j] for j in range(len(texts)) if len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j])) for i in range(len(texts))]
+    got = {x.doc_id: x.root for x in substring_dedup.near_copies(docs(spark, texts)).collect()}
+    same = {}  # equal words: only the first is returned
+    for i, t in enumerate(texts):
+        first = same.setdefault(tuple(t.split()), i)
+        assert got.get(first, first) == root[i]
+
+
+def test_edits_inside_a_passage_go_with_it():
+    a = np.arange(400, dtype=np.uint64)
+    b = a.copy()
+    b[[150, 210]] = 9999
+    assert substring_dedup.same_stretches(a, b) == [(0, 400)]
+    b[200:300] += np.uint64(5000)
+    assert substring_dedup.same_stretches(a, b) == [(0, 200), (300, 400)]
+    assert substring_dedup.same_stretches(a[:49], a[:49]) == [] and substring_dedup.same_stretches(a[:50], a[:50]) == [(0, 50)]
 
 
 def test_bands_find_similar_paragraphs():
