@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import BLANKS, ascii_lower, few, scratch
+from strandline.llm.common import BLANKS, ascii_lower, delete, dropped, joined_to_one, scratch, written
 
 
 def lines_of(text: Column) -> Column:
@@ -27,27 +30,57 @@ class LineRuns:
 
     A batch is merge-anti-joined with all runs to find which of its keys are new, and then becomes a run of level 0. When a
     level has ``fanout`` runs, they are merged into one run of the next level, so a store of n batches has about
-    fanout x log(n) runs and each row is rewritten log(n) times. All runs are bucketed and sorted alike by h1, so neither the
-    anti-joins nor the merges shuffle what is stored already.
+    fanout x log(n) runs and each row is rewritten log(n) times. All runs are bucketed and sorted alike by h1, so the
+    anti-joins do not shuffle what is stored already.
+
+    A store with a ``path`` of its own lives on: ``save`` writes which runs it has, and the next LineRuns of that path begins
+    with them, in this session or another. Without one it is scratch, and ``close`` takes its names out of the catalogue.
     """
 
-    def __init__(self, spark: SparkSession, fanout: int = 4, buckets: int | None = None) -> None:
+    def __init__(self, spark: SparkSession, fanout: int = 4, buckets: int | None = None, path: str | None = None) -> None:
         self.spark, self.fanout = spark, fanout
         self.buckets = buckets or min(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.levels: list[list[str]] = []
-        self.path, self.made = scratch(spark, "line-runs"), 0
-
-    def _write(self, rows: DataFrame, level: int) -> None:
-        self.made += 1
-        name = f"line_run_{self.path.rsplit('-', 1)[1]}_{self.made}"
-        rows.repartition(self.buckets, "h1").coalesce(self.buckets).write.bucketBy(self.buckets, "h1").sortBy("h1", "h2").option("path", f"{self.path}/{level}-{self.made}").format("parquet").saveAsTable(name)
+        self.kept = path is not None
+        self.path, self.name, self.made = path or scratch(spark, "line-runs"), f"line_run_{uuid.uuid4().hex}", 0
+        if path:
+            self._open()
+
+    def _open(self) -> None:
+        try:
+            held = self.spark.read.schema("version int, made int, buckets int, level int, run int").json(f"{self.path}/manifests").collect()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return
+        last = max((r.version for r in held), default=0)
+        for r in sorted(r for r in held if r.version == last):
+            self.made, self.buckets = r.made, r.buckets
+            if r.run is not None:
+                name = f"{self.name}_{r.run}"
+                self.spark.sql(f"CREATE TABLE {name} (h1 BIGINT, h2 BIGINT, n_docs BIGINT, keeper BIGINT) USING parquet CLUSTERED BY (h1) SORTED BY (h1, h2) INTO {r.buckets} BUCKETS LOCATION '{self.path}/run-{r.run}'")
+                self._place(name, r.level)
+
+    def save(self) -> None:
+        """Writes which runs there are. What an earlier version had and this one has not stays on disk for its readers."""
+        rows = [(self.made, self.made, self.buckets, level, int(name.rsplit("_", 1)[1])) for level, names in enumerate(self.levels) for name in names]
+        schema = "version int, made int, buckets int, level int, run int"
+        self.spark.createDataFrame(rows or [(self.made, self.made, self.buckets, None, None)], schema).coalesce(1).write.mode("append").json(f"{self.path}/manifests")
+
+    def _place(self, name: str, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(name)
 
+    def _write(self, rows: DataFrame, level: int) -> None:
+        self.made += 1
+        name = f"{self.name}_{self.made}"
+        rows.repartition(self.buckets, "h1").coalesce(self.buckets).write.bucketBy(self.buckets, "h1").sortBy("h1", "h2").option("path", f"{self.path}/run-{self.made}").format("parquet").saveAsTable(name)
+        self._place(name, level)
+
     def _drop(self, names: list[str]) -> None:
         for name in names:
-            self.spark.sql(f"DROP TABLE {name}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     def runs(self) -> list[DataFrame]:
         return [self.spark.table(name) for level in self.levels for name in level]
@@ -69,10 +102,14 @@ class LineRuns:
                 self.compact(level)
 
     def merged(self, names: list[str]) -> DataFrame:
+        """One merge join after another. A union would not do: Spark 4.1 takes one of bucketed tables for bucketed, and drops
+        the shuffle that its aggregation needs."""
         rows = self.spark.table(names[0])
         for name in names[1:]:
-            rows = rows.unionAll(self.spark.table(name))
-        return rows.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
+            more = self.spark.table(name).withColumnsRenamed({"n_docs": "_n", "keeper": "_keeper"}).hint("merge")
+            both = rows.join(more, ["h1", "h2"], "full_outer")
+            rows = both.select("h1", "h2", (F.coalesce("n_docs", F.lit(0)) + F.coalesce("_n", F.lit(0))).alias("n_docs"), F.greatest("keeper", "_keeper").alias("keeper"))
+        return rows
 
     def compact(self, level: int) -> None:
         names, self.levels[level] = self.levels[level], []
@@ -84,40 +121,54 @@ class LineRuns:
         return self.merged([name for level in self.levels for name in level])
 
     def close(self) -> None:
-        """Takes the runs' names out of the catalogue. Their files stay for what has been planned on them."""
+        """Takes the runs' names out of the catalogue; a scratch store's files go too."""
         self._drop([name for level in self.levels for name in level])
         self.levels = []
+        if not self.kept:
+            delete(self.spark, self.path)
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 3, carry: tuple[str, ...] = (), store: str | None = None) -> DataFrame:
     """(doc_id, *carry, text, n_lines, n_dropped): every text without the long lines that many documents share.
 
     A line's key is the line without blanks at its ends, A-Z in lower case. Keys of at least ``min_chars`` code points that
-    ``min_docs`` rows hold lose all their lines but those of the largest doc_id with the key. The batches are ranges of
-    doc_id in descending order, so the batch in which a key is new names the keeper.
-
-    A null or empty text is one empty line, and comes out empty. Rows count as documents even if their doc_id repeats; a
-    repeated doc_id is one keeper, so each of its rows keeps the line. A null doc_id counts as less than all others, and if
-    only such rows hold a key, they all keep it. An empty table gives an empty result; columns other than ``carry`` are ignored. Line hashes
-    are aggregated before they are shuffled, text moves once, and what joins on a frequent line has one row on the other side.
+    ``min_docs`` documents hold lose all their lines but those of the largest doc_id with the key. The batches are ranges of
+    doc_id in descending order, so the batch in which a key is new names the keeper. With a ``store`` (a path) the documents
+    are the next batches after those it has seen: their keys count on from the store's, a key keeps the keeper it has there,
+    and the store takes the new keys in.
+
+    A null or empty text is one empty line, and comes out empty. Rows that share a doc_id are one document; each of its rows
+    keeps the lines that it keeps. Rows without a doc_id are one document that is less than all others; if only they hold a
+    key, it is one document's. An empty table gives an empty result; columns other than ``carry`` are ignored. Line hashes
+    are aggregated before they are shuffled, text moves once, and no task gets all places of a frequent line: such lines, fewer
+    than a thousand whatever the input, are joined from a broadcast.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", *carry, "text")
     lo, hi = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
     width = 1 if lo is None else (hi - lo) // batches + 1
     keys = F.array_distinct(F.transform(F.filter(F.transform(F.filter(lines_of(F.col("text")), lambda x: F.length(x) >= min_chars), line_key), lambda x: F.length(x) >= min_chars), key_hash))
-    path = scratch(spark, "line-keys")
     batch = F.when(F.col("doc_id").isNull(), F.lit(batches)).otherwise(F.floor((F.lit(hi) - F.col("doc_id")) / width)).cast("int")
-    docs.select("doc_id", batch.alias("batch"), F.explode(keys).alias("k")).select("doc_id", "batch", "k.h1", "k.h2").coalesce(few(docs)).sortWithinPartitions("batch").write.parquet(path)
-    held = spark.read.schema("doc_id long, batch int, h1 long, h2 long").parquet(path)  # a batch skips the row groups of others
-    store = LineRuns(spark, fanout)
-    for b in range(batches + 1):
-        part = held.where(F.col("batch") == b)
-        if b == 0 or not part.isEmpty():
-            store.add(part.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper")))
-    common = store.all_keys().where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper")
-    store.close()
-    lost = held.join(common, ["h1", "h2"]).where("doc_id < keeper or (doc_id is null and keeper is not null)")
+    rows = docs.select("doc_id", batch.alias("batch"), F.explode(keys).alias("k")).select("doc_id", "batch", "k.h1", "k.h2")
+    held = written(rows.sortWithinPartitions("batch"), "line-keys")  # a batch skips the row groups of others
+    again = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_id"))
+    if not again.isEmpty():  # a document counts once, in however many rows it holds a key
+        mark = held.join(again, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+        once = written(mark.where("_id is null and doc_id is not null").drop("_id").unionByName(mark.where("_id is not null or doc_id is null").drop("_id").distinct()).sortWithinPartitions("batch"), "line-keys")
+        dropped(held)
+        held = once
+    runs = LineRuns(spark, fanout, path=store)
+    try:
+        for b in range(batches + 1):
+            part = held.where(F.col("batch") == b)
+            if b == 0 or not part.isEmpty():
+                runs.add(part.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper")))
+        common = written(runs.all_keys().where(F.col("n_docs") >= min_docs), "common-lines")
+        if store:
+            runs.save()
+    finally:
+        runs.close()
+    lost = joined_to_one(held, common, ["h1", "h2"], "n_docs", "doc_id").where("doc_id < keeper or (doc_id is null and keeper is not null)" + (" or doc_id > keeper" if store else ""))
     lost = lost.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("lost"))
     lines = lines_of(F.col("text"))
     stays = lambda line: (F.length(line) < min_chars) | ~F.array_contains(F.col("lost"), key_hash(line_key(line)))

@@ -91,22 +91,20 @@ ORACLE_SQL = {
         FROM rows JOIN shards USING (doc_id)
     """,
     "op6_line_dedup": """
-        WITH lines AS (
-            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-                   unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
-            FROM documents),
+        WITH rows AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        lines AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM rows),
         keyed AS (
             SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
             FROM lines),
         common AS (
             SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
-            GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+            GROUP BY key HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 5),
         marked AS (
-            SELECT k.doc_id, k.line, k.pos, coalesce(k.doc_id < c.keeper, false) AS lost
+            SELECT k.r, k.doc_id, k.line, k.pos, coalesce(k.doc_id < c.keeper, k.doc_id IS NULL AND c.keeper IS NOT NULL) AS lost
             FROM keyed k LEFT JOIN common c ON k.key = c.key)
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT lost), '')) AS kept_sha256
-        FROM marked GROUP BY doc_id
+        FROM marked GROUP BY r, doc_id
     """,
 }
