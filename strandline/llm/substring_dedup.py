@@ -318,9 +318,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["doc_id", "start", "shingles"])
 
     docs = docs.select("doc_id", "text").where("doc_id is not null")
-    met = written(met_lines(written(docs.mapInArrow(lean(keyed), "doc_id long, start long, n int, k1 long, k2 long, bands array<long>"), "text-bands")), "met")
+    met = written(met_lines(written(docs.mapInArrow(lean(keyed), "doc_id long, start long, n int, k1 long, k2 long, bands array<long>"), "text-bands")), "met", few(docs.sparkSession))
     wanted = met.select("rep.doc_id", "rep.start").groupBy("doc_id").agg(F.collect_set("start").alias("want"))
-    found = docs.join(wanted, "doc_id").select("doc_id", "text", "want").mapInArrow(lean(sets), "doc_id long, start long, shingles array<long>").groupBy("doc_id", "start").agg(F.first("shingles").alias("shingles"))
+    found = docs.join(wanted.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "want").mapInArrow(lean(sets), "doc_id long, start long, shingles array<long>").groupBy("doc_id", "start").agg(F.first("shingles").alias("shingles"))
     links = line_links(met, found).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"))
     return components(links).select(F.col("node").alias("doc_id"), "root")
 
@@ -335,7 +335,7 @@ def shared_runs(cores: DataFrame, copies: DataFrame) -> DataFrame:
     side are one run. ``copies`` (doc_id, place's variant) have no runs of their own.
     """
     first = cores.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("root"), F.max("doc_id").alias("last"), F.count("*").alias("c")).where("last <> root.doc_id").select("key", "root", "c")
-    first = written(first, "core-roots")
+    first = written(first, "core-roots", few(cores.sparkSession))
     hits = joined_to_one(cores, first, ["key"], "c", "doc_id").where("root.doc_id <> doc_id")
     hits = hits.select("doc_id", "place", F.col("root.doc_id").alias("keeper"), (F.col("root.place") - F.col("place")).alias("shift"))
     hits = hits.join(copies, (hits.doc_id == copies._id) & (F.shiftright(hits.place, 32) == copies._v), "left_anti")
@@ -380,7 +380,8 @@ def pieces(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names)
 
-    return docs.join(wanted, "doc_id").select("doc_id", "text", "runs", "blocks", "lines").mapInArrow(lean(run), PIECES)
+    # hashed on the wanted side: texts need not be sorted
+    return docs.join(wanted.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "runs", "blocks", "lines").mapInArrow(lean(run), PIECES)
 
 
 def same_stretches(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -480,13 +481,13 @@ def repeats(docs: DataFrame) -> DataFrame:
     # whole texts
     texts = written(named.groupBy("t1", "t2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c")).where("c > 1"), "copies", few(spark))
     base = joined_to_one(held.select("doc_id", "n", "t1", "t2").withColumn("_spread", F.xxhash64("doc_id", "n")), texts, ["t1", "t2"], "c", "_spread")
-    base = written(base.select("doc_id", "n", variant.alias("variant"), F.when(F.col("rep") < F.col("doc_id"), F.col("rep")).alias("rep")), "documents-seen")
+    base = written(base.select("doc_id", "n", variant.alias("variant"), F.when(F.col("rep") < F.col("doc_id"), F.col("rep")).alias("rep")), "documents-seen", few(spark))
     copies = base.where("rep is not null").select(F.col("doc_id").alias("_id"), F.col("variant").alias("_v")).distinct()
     # cores and lines of all texts but the copies of others
     cores = named.select("doc_id", variant.alias("_v"), F.explode(F.arrays_zip("places", "cores")).alias("x")).select(F.col("x.cores").alias("key"), "doc_id", (F.shiftleft("_v", 32) + F.col("x.places")).alias("place"))
     runs = shared_runs(cores, copies)
     lines = named.select("doc_id", variant.alias("_v"), F.explode("lines").alias("x")).select("doc_id", (F.shiftleft("_v", 32) + F.col("x.first")).alias("start"), "x.n", "x.k1", "x.k2", "x.bands")
-    met = written(met_lines(lines), "met")
+    met = written(met_lines(lines), "met", few(spark))
     # the words of all that is compared, in one reading of the texts
     no_runs, no_blocks, no_lines = (F.lit(None).cast(t).alias(n) for n, t in (("run", "struct<run:long,lo:long,hi:long>"), ("block", "long"), ("line", "struct<place:long,n:int>")))
     mine = runs.select("doc_id", F.struct("run", "lo", "hi").alias("run"), no_blocks, no_lines)
@@ -503,7 +504,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     reps = written(reps.join(roots, "rep", "left").where("c > 1 or root is not null").select("k1", "k2", "c", F.coalesce("root", "rep").alias("root")), "line-classes", few(spark))
     more = joined_to_one(lines.drop("bands"), reps, ["k1", "k2"], "c", "doc_id").where("doc_id <> root.doc_id")
     more = more.select("doc_id", "start", "n", F.struct("root.doc_id", F.col("root.start").bitwiseAND(F.lit(0xFFFFFFFF)).alias("start")).alias("root"))
-    spans = written(hits.unionByName(more), "spans", few(spark))
+    spans = written(hits.unionByName(more), "spans")
     classes = components(spans.select(F.col("doc_id").alias("a"), F.col("root.doc_id").alias("b"))).select(F.col("node").alias("_node"), F.col("root").alias("_class"))
     one = F.struct(F.col("start").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("first"), (F.col("start").bitwiseAND(F.lit(0xFFFFFFFF)) + F.col("n")).cast("int").alias("end"), F.col("root.doc_id").alias("keeper"), F.col("root.start").cast("int").alias("keeper_first"))
     per_doc = spans.groupBy(F.col("doc_id").alias("_id"), F.shiftright("start", 32).alias("_v")).agg(F.array_sort(F.collect_set(one)).alias("spans"))
