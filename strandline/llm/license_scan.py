@@ -119,6 +119,149 @@ TEXTS = [
     ("copyright", "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})?", 20),
     ("permissive", "permitted", r"redistribution and use in source and binary forms with or without modification are permitted", 85),
     ("other", "licen", r"licensed under(?: the)?(?: terms of)?", 5),
+    # permissive texts
+    ("mit", "above copyright", r"the above copyright notice and this permission notice shall be included in all copies", 95),
+    ("mit", "merge", r"use copy modify merge publish distribute sublicense and or sell copies of the software", 95),
+    ("mit", "noninfringement", r"merchantability fitness for a particular purpose and noninfringement", 60),
+    ("mit-0", "no attribution", r"mit no attribution(?: license)?", 92),
+    ("mit-modern", "hereby granted", r"permission is hereby granted without written agreement and without license or royalty fees", 92),
+    ("bsd", "binary form", r"redistributions in binary form must reproduce the above copyright notice", 95),
+    ("bsd", "software is provided", r"this software is provided by the (?:copyright holders|regents|author)(?: and contributors)? as is", 88),
+    ("bsd-4-clause", "advertising", r"all advertising materials mentioning features or use of this software must display", 96),
+    ("bsd-2-clause-patent", "patent", r"bsd (?:2 clause )?plus patent(?: license)?", 92),
+    ("bsd-3-clause-clear", "clear", r"(?:the )?clear bsd license", 92),
+    ("isc", "without fee", r"permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted", 96),
+    ("zlib", "altered source", r"altered source versions must be plainly marked as such", 95),
+    ("zlib", "misrepresented", r"the origin of this software must not be misrepresented", 95),
+    ("libpng", "png", r"(?:libpng|png) (?:reference library )?licen[cs]e(?: version 2)?", 85),
+    ("curl", "curl", r"curl (?:and libcurl )?licen[cs]e", 80),
+    ("x11", "x consortium", r"except as contained in this notice the name of the x consortium shall not be used", 96),
+    ("ncsa", "illinois", r"university of illinois ncsa open source license", 94),
+    ("boost", "machine executable", r"solely in the form of machine executable object code generated by a source language processor", 95),
+    ("postgresql", "california", r"in no event shall the university of california be liable to any party", 90),
+    ("python", "beopen", r"beopen python open source license agreement", 94),
+    ("python", "cnri", r"cnri (?:open source )?(?:gpl compatible )?license agreement", 92),
+    ("openssl", "openssl project", r"this product includes software developed by the openssl project", 95),
+    ("ssleay", "eric young", r"this product includes cryptographic software written by eric young", 95),
+    ("icu", "icu", r"icu licen[cs]e(?: icu 1 8 1 and later)?", 80),
+    ("unicode", "unicode", r"unicode(?: inc)? licen[cs]e(?: agreement)?(?: v3)?(?: data files and software)?", 85),
+    ("w3c", "w3c", r"w3c software (?:notice and|and document) (?:licen[cs]e|notice)", 90),
+    ("beerware", "beer", r"(?:the )?beer ?ware licen[cs]e(?: revision 42)?", 90),
+    ("beerware", "buy me a beer", r"you can buy me a beer in return", 95),
+    ("json", "good not evil", r"the software shall be used for good not evil", 96),
+    ("fair", "works", r"usage of the works is permitted provided that this instrument is retained with the works", 95),
+    ("hpnd", "representations", r"makes no representations about the suitability of this software for any purpose", 90),
+    ("upl", "universal permissive", r"universal permissive licen[cs]e(?: v| version)? ?1 0", 92),
+    ("bluoak", "blue oak", r"blue oak model licen[cs]e 1 0 0", 92),
+    ("ms-pl", "microsoft public", r"microsoft public licen[cs]e ms pl", 92),
+    ("ftl", "freetype", r"freetype (?:project )?licen[cs]e", 88),
+    ("ijg", "jpeg", r"this software is based in part on the work of the independent jpeg group", 95),
+    ("info-zip", "info zip", r"info zip licen[cs]e", 85),
+    ("tcl", "tcl", r"tcl tk licen[cs]e", 85),
+    ("vim", "vim", r"vim licen[cs]e", 80),
+    # copyleft texts
+    ("gpl", "free software foundation", r"as published by the free software foundation either version [1-3](?: of the license)? or (?:at your option )?any later version", 94),
+    ("gpl", "any warranty", r"this program is distributed in the hope that it will be useful but without any warranty", 93),
+    ("gpl", "received a copy", r"you should have received a copy of the gnu general public license", 95),
+    ("lgpl", "received a copy", r"you should have received a copy of the gnu (?:lesser|library) general public license", 95),
+    ("agpl", "received a copy", r"you should have received a copy of the gnu affero general public license", 95),
+    ("gpl-2.0", "june 1991", r"gnu general public license version 2 june 1991", 97),
+    ("gpl-3.0", "june 2007", r"gnu general public license version 3 29 june 2007", 97),
+    ("lgpl-2.1", "february 1999", r"gnu lesser general public license version 2 1 february 1999", 97),
+    ("lgpl-3.0", "june 2007", r"gnu lesser general public license version 3 29 june 2007", 98),
+    ("agpl-3.0", "november 2007", r"gnu affero general public license version 3 19 november 2007", 97),
+    ("gpl-classpath", "classpath", r"(?:gpl )?(?:with )?classpath exception", 90),
+    ("gpl-gcc", "gcc runtime", r"gcc runtime library exception", 92),
+    ("gpl-linking", "linking exception", r"(?:gpl )?(?:static )?linking exception", 80),
+    ("gpl-font", "font e", r"(?:gpl )?font (?:embedding )?exception", 85),
+    ("mpl-1.1", "mozilla", r"the contents of this file are subject to the mozilla public license version 1 1", 97),
+    ("mpl-2.0", "incompatible", r"incompatible with secondary licenses", 70),
+    ("epl-1.0", "eclipse", r"this program and the accompanying materials are made available under the terms of the eclipse public license v1 0", 97),
+    ("epl-2.0", "eclipse", r"this program and the accompanying materials are made available under the terms of the eclipse public license 2 0", 97),
+    ("cddl", "development and distribution", r"subject to the terms of the common development and distribution license", 93),
+    ("cpl", "common public", r"accompanying program is provided under the terms of this common public license", 95),
+    ("ipl", "ibm public", r"ibm public licen[cs]e(?: version 1 0)?", 88),
+    ("cecill", "cecill", r"cecill(?: (?:b|c|1 0|1 1|2 0|2 1))?(?: free software)?(?: licen[cs]e)?", 82),
+    ("artistic", "artistic", r"the clarified artistic licen[cs]e", 90),
+    ("perl", "same terms", r"(?:under the )?same terms as perl(?: itself)?", 90),
+    ("ruby", "same terms", r"(?:under the )?same terms as ruby(?: itself)?", 90),
+    ("qpl", "q public", r"(?:the )?q public licen[cs]e(?: version 1 0)?", 88),
+    ("apsl", "apple public", r"apple public source licen[cs]e(?: version| v)?(?: (?:1 0|1 1|1 2|2 0))?", 88),
+    ("nposl", "non profit", r"non profit open software licen[cs]e(?: 3 0)?", 88),
+    ("oclc", "oclc", r"oclc research public licen[cs]e(?: 2 0)?", 88),
+    ("sleepycat", "sleepycat", r"(?:the )?sleepycat licen[cs]e", 88),
+    ("rpl", "reciprocal public", r"reciprocal public licen[cs]e(?: 1 [135])?", 88),
+    ("ecos", "ecos", r"ecos licen[cs]e(?: version 2 0)?", 85),
+    ("copyleft-next", "copyleft next", r"copyleft next(?: 0 3 [01])?", 85),
+    # apache and patents
+    ("apache-2.0", "applicable law", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", 94),
+    ("apache-2.0", "apache", r"apache license version 2 0 january 2004", 97),
+    ("apache-1.1", "apache software foundation", r"this product includes software developed by the apache software foundation", 93),
+    ("apache-llvm", "llvm", r"apache licen[cs]e v?2 0 with llvm exceptions?", 96),
+    ("apache-commons-clause", "commons clause", r"commons clause(?: licen[cs]e condition)?(?: v?1 0)?", 92),
+    # documents, media and data
+    ("gfdl", "invariant sections", r"with no invariant sections(?: no| with no)? front cover texts", 95),
+    ("gfdl", "documentation license", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", 96),
+    ("cc-by", "attribution", r"(?:licensed|available|released) under (?:a |the )?creative commons attribution(?: [1-4] [05])?(?: international| unported| generic)? licen[cs]e", 92),
+    ("cc-by-sa", "attribution", r"(?:licensed|available|released) under (?:a |the )?creative commons attribution share ?alike(?: [1-4] [05])?(?: international| unported| generic)? licen[cs]e", 94),
+    ("cc-by-nc", "commercial", r"(?:licensed|available|released) under (?:a |the )?creative commons attribution non ?commercial(?: [1-4] [05])?(?: international| unported| generic)? licen[cs]e", 94),
+    ("cc-by-nd", "deriv", r"(?:licensed|available|released) under (?:a |the )?creative commons attribution no ?deriv(?:ative)?s(?: [1-4] [05])?(?: international| unported| generic)? licen[cs]e", 94),
+    ("cc0", "cc0", r"cc0 (?:1 0 )?(?:universal )?public domain dedication", 95),
+    ("cc0", "waived all", r"has waived all copyright and related or neighboring rights", 95),
+    ("cc-pdm", "public domain mark", r"(?:creative commons )?public domain mark(?: 1 0)?", 90),
+    ("odbl", "odbl", r"open database licen[cs]e odbl(?: v?1 0)?", 95),
+    ("odbl", "openstreetmap", r"openstreetmap contributors", 60),
+    ("odc-by", "odc", r"odc (?:by|attribution)(?: v?1 0)?(?: licen[cs]e)?", 90),
+    ("pddl", "pddl", r"(?:odc )?pddl(?: v?1 0)?", 80),
+    ("cdla-permissive", "community data", r"community data licen[cs]e agreement permissive(?: version)?(?: [12] 0)?", 94),
+    ("cdla-sharing", "community data", r"community data licen[cs]e agreement sharing(?: version)?(?: 1 0)?", 94),
+    ("ogl-uk", "open government", r"open government licen[cs]e(?: v| version)? ?(?:[123] 0)?", 90),
+    ("etalab", "licence ouverte", r"licence ouverte(?: open licence)?(?: version)?(?: [12] 0)?", 90),
+    ("dl-de", "datenlizenz", r"datenlizenz deutschland (?:namensnennung|zero)(?: version)?(?: 2 0)?", 90),
+    ("gutenberg", "gutenberg", r"(?:full )?project gutenberg(?: tm)? licen[cs]e", 92),
+    ("ofl", "font software", r"this font software is licensed under the sil open font license", 97),
+    ("ofl", "reserved font", r"with reserved font names?", 85),
+    ("bitstream-vera", "bitstream", r"bitstream vera(?: fonts)?(?: copyright)?(?: licen[cs]e)?", 75),
+    ("ubuntu-font", "ubuntu font", r"ubuntu font licen[cs]e(?: version)?(?: 1 0)?", 92),
+    # source available and models
+    ("busl-1.1", "change date", r"change date .{1,40}? change license", 90),
+    ("busl-1.1", "production use", r"the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work", 97),
+    ("sspl-1.0", "service source code", r"you must make the service source code available via network download to everyone", 97),
+    ("elastic-2.0", "managed service", r"you may not provide the software to third parties as a hosted or managed service", 97),
+    ("polyform", "polyform", r"polyform (?:noncommercial|small business|perimeter|shield|strict|internal use|free trial)(?: licen[cs]e)?(?: 1 0 0)?", 92),
+    ("prosperity", "prosperity", r"(?:the )?prosperity public licen[cs]e(?: 3 0 0)?", 90),
+    ("parity", "parity", r"(?:the )?parity public licen[cs]e(?: 7 0 0)?", 90),
+    ("fsl", "functional source", r"functional source licen[cs]e(?: version)?(?: 1 [01])?", 92),
+    ("openrail", "rail", r"(?:creativeml |bigscience |bigcode )?open ?rail(?: [ms]| m\+\+)?(?: licen[cs]e)?(?: v?1)?", 80),
+    ("responsible-ai", "responsible ai", r"responsible ai licen[cs]e", 90),
+    ("llama", "llama", r"llama (?:2|3|3 1|3 2|3 3|4)? ?community licen[cs]e(?: agreement)?", 92),
+    ("gemma", "gemma", r"gemma terms of use", 90),
+    ("ethical", "hippocratic", r"hippocratic licen[cs]e(?: version)?(?: [123] [01])?", 90),
+    # rights held back
+    ("proprietary", "confidential", r"this (?:document|software|file|material) (?:is|contains) confidential(?: and proprietary)?(?: information)?", 72),
+    ("proprietary", "unauthori", r"unauthori[sz]ed (?:copying|use|reproduction|distribution)(?: or (?:copying|use|reproduction|distribution))?(?: of this (?:file|software|document|material))? .{0,40}?(?:is )?(?:strictly )?prohibited", 75),
+    ("proprietary", "end user", r"end user licen[cs]e agreement", 55),
+    ("proprietary", "reverse engineer", r"(?:may|shall|must) not (?:copy modify )?(?:decompile disassemble or )?reverse engineer", 65),
+    ("proprietary", "no part", r"no part of this (?:publication|book|document|work) may be reproduced", 75),
+    ("proprietary", "internal use", r"for internal use only", 45),
+    ("proprietary", "not for", r"not for (?:resale|redistribution|commercial use)", 45),
+    ("noncommercial", "commercial", r"(?:for )?non ?commercial (?:use|purposes) only", 50),
+    ("noncommercial", "personal", r"for personal(?: and)? non ?commercial use(?: only)?", 52),
+    ("noncommercial", "for academic", r"for academic(?: and (?:academic|research|educational))? (?:use|purposes) only", 50),
+    ("noncommercial", "for research", r"for research(?: and (?:academic|research|educational))? (?:use|purposes) only", 50),
+    ("noncommercial", "for educational", r"for educational(?: and (?:academic|research|educational))? (?:use|purposes) only", 50),
+    ("reserved", "some rights", r"some rights reserved", 40),
+    ("public-domain", "dedicated", r"(?:is )?(?:hereby )?dedicated to the public domain", 75),
+    ("public-domain", "public domain", r"(?:placed|released) (?:in|into|to) the public domain", 72),
+    ("public-domain", "government", r"work of the (?:united states|u s|us) government", 60),
+    ("copyright", "copyright", r"copyright (?:c )?by [a-z]", 18),
+    ("copyright", "copyrighted", r"copyrighted (?:material|work|by)", 18),
+    ("copyright", "trademark", r"(?:is a |are )?(?:registered )?trademarks? of", 15),
+    ("other", "licen", r"licen[cs]e agreement", 5),
+    ("other", "licen", r"see (?:the )?licen[cs]e(?: file| txt| md)? for (?:details|more|the full)", 30),
+    ("other", "terms and conditions", r"(?:subject to|under) the (?:following )?terms and conditions", 10),
+    ("other", "may be freely", r"may be freely (?:copied|distributed|redistributed)(?: (?:and|or) (?:copied|distributed|redistributed|modified))*", 25),
+    ("other", "with permission", r"(?:used|reprinted|reproduced) with permission", 35),
 ]
 
 # How a name stands in a text: wording around {name} and {version}, priority with a version and without.
@@ -162,11 +305,25 @@ def rules() -> list[Rule]:
 
 
 def resolve(hits: list[Hit]) -> list[Hit]:
-    """Keeps a hit unless one of at least its priority contains it; of equal spans and priorities the smaller label stays."""
+    """Keeps a hit unless one of at least its priority contains it; of equal spans and priorities the smaller label stays.
+
+    Hits are taken from high priority to low, wide ones first. A binary tree over the starts holds the furthest end of what is
+    kept up to there, so each hit costs a logarithm of their number.
+    """
+    starts = {s: i + 1 for i, s in enumerate(sorted({h.start for h in hits}))}
+    furthest = [-1] * (len(starts) + 1)
     kept: list[Hit] = []
     for hit in sorted(hits, key=lambda h: (-h.priority, h.start - h.end, h.start, h.label)):
-        if not any(k.start <= hit.start and hit.end <= k.end for k in kept):
+        i, end = starts[hit.start], -1
+        while i:
+            end = max(end, furthest[i])
+            i &= i - 1
+        if end < hit.end:
             kept.append(hit)
+            i = starts[hit.start]
+            while i < len(furthest):
+                furthest[i] = max(furthest[i], hit.end)
+                i += i & -i
     return sorted(kept)
 
 

@@ -90,13 +90,28 @@ def address(text: str, key: bytes) -> str | None:
     return ".".join(map(str, permuted(int.from_bytes(bytes(parts), "big"), 1 << 32, key, "ip").to_bytes(4, "big")))
 
 
+#: Calling codes of countries: these of one and of two digits, all others of three (ITU-T E.164). Fixed values.
+SHORT_CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
 def phone(text: str, key: bytes) -> str | None:
-    """Numbers of 8 to 15 digits, or 10 without a country code: the country code stays; North American ones stay valid as such."""
-    country = (re.match(r"\+(1(?=\D?\(?[2-9]\d\d)|\d{1,3}(?=\D)|\d{2})", text) or [""])[0]
-    rest = digits_of(text[len(country) :])
-    if not (8 <= len(digits_of(text)) <= 15 if country else len(rest) == 10) or not rest:
-        return None
-    american = len(rest) == 10 and country in ("", "+1")
+    """Numbers of 8 to 15 digits with a calling code, which stays, or of 10 without: these are North American, as with +1.
+
+    The number is read from its digits alone, so separators and a trunk "(0)" do not change its pseudonym. North American
+    numbers stay valid as such.
+    """
+    shown = text.replace("(0)", "(\0)")
+    digits = digits_of(shown)
+    if text.startswith("+"):
+        code = next((digits[:n] for n in (1, 2) if digits[:n] in SHORT_CODES), digits[:3])
+        head, rest = code, digits[len(code) :]
+        if not 8 <= len(digits) <= 15:
+            return None
+    else:
+        code, head, rest = "1", "", digits
+        if len(digits) != 10:
+            return None
+    american = len(rest) == 10 and code == "1"
 
     def valid(x: int) -> bool:
         """Whether area and exchange code begin with 2 to 9."""
@@ -104,7 +119,8 @@ def phone(text: str, key: bytes) -> str | None:
 
     x = int(rest)
     kind = valid(x)
-    return country + with_digits(text[len(country) :], str(permuted(x, 10 ** len(rest), key, "phone" + country, lambda y: valid(y) == kind)).zfill(len(rest)))
+    new = permuted(x, 10 ** len(rest), key, "phone" + code, lambda y: valid(y) == kind)
+    return with_digits(shown, head + str(new).zfill(len(rest))).replace("\0", "0")
 
 
 FIRST_DAY, DAYS = datetime.date(1900, 1, 1), (datetime.date(2100, 1, 1) - datetime.date(1900, 1, 1)).days
@@ -112,8 +128,17 @@ FIRST_DAY, DAYS = datetime.date(1900, 1, 1), (datetime.date(2100, 1, 1) - dateti
 DATES = {"-": (0, 1, 2), "/": (2, 1, 0), ".": (2, 1, 0)}
 
 
+def date_class(day: datetime.date) -> tuple[int, bool]:
+    """What a date's pseudonym shares with it, so that it fits wherever the date can be written: whether the day has one digit
+    or can be a month, and whether the month has one digit."""
+    return (day.day > 9) + (day.day > 12), day.month > 9
+
+
 def date(text: str, key: bytes) -> str | None:
-    """Days from 1900 to 2099 as 2001-02-28, 28/02/2001 or 28.02.2001 (and 02/28/2001 where that is the only reading) to others."""
+    """Days from 1900 to 2099 as 2001-02-28, 28/02/2001, 28.2.2001 (and 02/28/2001 where that is the only reading) to others.
+
+    The day is permuted, not its spelling: one day has one pseudonym in all forms, and each part keeps its width.
+    """
     sep = next(c for c in text if not c.isdigit())
     parts = text.split(sep)
     place = DATES[sep]
@@ -125,14 +150,11 @@ def date(text: str, key: bytes) -> str | None:
         return None
     if not 0 <= (day - FIRST_DAY).days < DAYS:
         return None
-
-    def same_reading(n: int) -> bool:  # a month-first date must not become one that reads as day-first
-        return sep != "/" or place == (2, 1, 0) or (FIRST_DAY + datetime.timedelta(n)).day > 12
-
-    new = FIRST_DAY + datetime.timedelta(permuted((day - FIRST_DAY).days, DAYS, key, "date" + ("month-first" if place == (2, 0, 1) else ""), same_reading))
+    kind = date_class(day)
+    new = FIRST_DAY + datetime.timedelta(permuted((day - FIRST_DAY).days, DAYS, key, "date", lambda n: date_class(FIRST_DAY + datetime.timedelta(n)) == kind))
     out = list(parts)
     for i, v in zip(place, (new.year, new.month, new.day), strict=True):
-        out[i] = str(v).zfill(2)
+        out[i] = str(v).zfill(len(parts[i]))
     return sep.join(out)
 
 

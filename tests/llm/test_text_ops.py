@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -162,6 +163,41 @@ def test_contained_hits_go():
     assert len(license_scan.rules()) > 300
 
 
+def plain_resolve(hits):
+    """Each hit against all others, from high priority to low."""
+    kept = []
+    for h in sorted(hits, key=lambda h: (-h.priority, h.start - h.end, h.start, h.label)):
+        if not any(k.start <= h.start and h.end <= k.end for k in kept):
+            kept.append(h)
+    return sorted(kept)
+
+
+def test_suppression_is_that_of_all_pairs_and_takes_long_notices():
+    r = random.Random(13)
+    for _ in range(300):
+        hits = [license_scan.Hit(a, a + r.randrange(1, 12), r.choice([10, 50, 90]), r.choice("abc")) for a in (r.randrange(40) for _ in range(r.randrange(0, 40)))]
+        assert license_scan.resolve(hits) == plain_resolve(hits)
+    many = [license_scan.Hit(a, a + 1 + a % 7, a % 5, "x") for a in range(100_000)]
+    began = time.perf_counter()
+    license_scan.resolve(many)
+    assert time.perf_counter() - began < 10
+
+
+def test_labels_are_those_of_all_rules():
+    """Against every rule on every text, without the prefilter."""
+    s, r = license_scan.Scanner(), random.Random(14)
+    pool = [*WORDS_OF_RULES, "the", "of", "1.0", "2.0", "v3", "license", "MIT", "x"]
+    for _ in range(150):
+        text = r.choice([" ", "-", "\n", ", "]).join(r.choices(pool, k=r.randrange(0, 60)))
+        line = b" ".join(text.encode().translate(license_scan.WORD_BYTES).split())
+        hits = [license_scan.Hit(m.start(), m.end(), rule.priority, rule.label) for rule in s.rules for m in rule.pattern.finditer(line)]
+        want = {h.label for h in plain_resolve(hits)} | set(filter(None, plain_base(text)[4].split(",")))
+        assert s.scan(text.encode())["labels"] == ",".join(sorted(want))
+
+
+WORDS_OF_RULES = sorted({w for *_, text, _ in license_scan.TEXTS for w in re.findall("[a-z0-9]{2,}", text)} | {phrase for phrase in license_scan.BASE} | {"apache license version 2 0", "gnu general public license", "creative commons attribution", "this font software is licensed under the sil open font license"})
+
+
 def example(tree, r):
     """A random string that a parsed pattern matches."""
     from re import _constants as c
@@ -509,6 +545,33 @@ def test_numbers_next_to_each_other():
     assert len(pii.pseudonymized(long, b"k")[0]) == len(long)
 
 
+@pytest.mark.parametrize("spellings", [
+    ["+3531234567", "+353 123 4567", "+353-123-4567", "+353.123.4567", "+353 (0)123 4567"], ["(414) 555-7134", "414-555-7134", "414.555.7134", "+1 414 555 7134", "+14145557134", "+1 (414) 555-7134"],
+    ["2001-02-28", "28/02/2001", "28.02.2001", "02/28/2001", "28.2.2001", "2/28/2001"], ["2001-02-01", "01/02/2001", "1/2/2001", "1.2.2001", "01.2.2001"],
+    ["4418452524842581", "4418 4525 2484 2581", "4418-4525-2484-2581"], ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00"],
+])
+def test_one_value_in_all_spellings(spellings):
+    new = [re.fullmatch("see (.*) ok", pii.pseudonymized(f"see {x} ok", b"k")[0])[1] for x in spellings]
+    for a, b in zip(spellings, new, strict=True):
+        assert a != b and re.sub("[0-9]", "9", a) == re.sub("[0-9]", "9", b)  # the form is kept
+
+    def value(x):
+        if re.search(r"\d{4}$|^\d{4}-\d\d-", x) and len(x) <= 10 and not x.startswith("+"):
+            parts = [int(p) for p in re.split(r"[-/.]", x)]
+            year, rest = max(parts), [p for p in parts if p != max(parts)]
+            return year, tuple(sorted(rest))
+        return re.sub(r"\D", "", x.replace("(0)", "")).removeprefix("1" if len(re.sub(r"\D", "", x)) == 11 else "")
+
+    assert len({value(x) for x in new}) == 1, new
+
+
+def test_dates_are_permuted_within_their_class():
+    days = [f"{y}-{m:02}-{d:02}" for y in (1999, 2024) for m in range(1, 13) for d in range(1, 29)]
+    new = [pii.date(x, b"k") for x in days]
+    assert len(set(new)) == len(days) and all(pii.date(x, b"k") for x in new)
+    assert all((a[8:] > "12") == (b[8:] > "12") and (a[5:7] > "09") == (b[5:7] > "09") for a, b in zip(days, new, strict=True))
+
+
 def test_equal_values_stay_linked(spark):
     texts = ["4418452524842581 a", "b 4418-4525-2484-2581", "c 4418452524842581 and 10.0.0.1", *ODD]
     got = {x.doc_id: x for x in pii.pseudonymize(docs(spark, texts), b"k").collect()}
