@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -18,8 +19,11 @@ BUCKETS, DIM = 1 << 16, 16
 SAMPLE_DOCS, WINDOWS, WINDOW_CHARS = 2500, 4, 300
 #: A share of sampled documents is kept from training and calibrates temperature and rejection.
 CALIBRATION = 0.25
-#: No text is rejected whose best language is at least this many times as likely as by chance.
-REJECT_BELOW = 1.5
+#: Rejected is a text whose best language is less likely than SLACK times what all but a share of FALSE_REJECTS of the
+#: calibration documents have. Texts of fewer words than this are too short to be called foreign.
+FALSE_REJECTS, SLACK, JUDGED_WORDS = 0.001, 0.9, 12
+#: Foreign windows that training makes up for each real one.
+FOREIGN = 1.0
 
 #: ASCII letters stay, all other ASCII is a blank; bytes of other characters stay.
 LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
@@ -44,15 +48,30 @@ def has_letter(text: str) -> bool:
     return bool(re.search("[A-Za-z]", text)) or any(c.isalpha() for c in text)
 
 
+VOWELS = "aeiouy"
+CONSONANTS = "bcdfghjklmnpqrstvwxz"
+
+
+def foreign(text: str, draw: np.random.Generator) -> str:
+    """A text that could be of a language nobody labelled: vowels go to vowels, consonants to consonants and other letters to
+    letters of their own kind, each by a random map; so words keep their shape and lose their spelling."""
+    others = sorted({c for c in text.lower() if c.isalpha() and ord(c) > 127})
+    table = {}
+    for kind in (VOWELS, CONSONANTS, others):
+        for a, b in zip(kind, draw.permutation(list(kind)) if len(kind) else (), strict=True):
+            table[ord(a)] = str(b)
+    return text.lower().translate(table)
+
+
 class Model(NamedTuple):
     labels: list[str]
-    table: np.ndarray  # the embeddings times the output weights: a row of logits for each bucket
+    table: np.ndarray  # the embeddings times the output weights: a row of logits for each bucket; the last column is foreign text
     bias: np.ndarray
     temperature: float
     threshold: float
 
     def logits(self, buckets: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(self.labels), np.float64)
+        total = np.zeros(self.table.shape[1], np.float64)
         for at in range(0, len(buckets), 1 << 18):
             total += self.table[buckets[at : at + (1 << 18)]].sum(axis=0, dtype=np.float64)
         return total / max(1, len(buckets)) + self.bias
@@ -62,8 +81,9 @@ class Model(NamedTuple):
         if text is None or not self.labels or not has_letter(text):
             return "und", 0.0, True
         p = softmax(self.logits(subwords(text)) / self.temperature)
-        best = int(p.argmax())
-        return self.labels[best], float(p[best]), bool(p[best] < self.threshold)
+        best = int(p[:-1].argmax())
+        rejected = p[best] < self.threshold and len(text.split(None, JUDGED_WORDS)) >= JUDGED_WORDS
+        return self.labels[best], float(p[best]), bool(rejected)
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -72,24 +92,29 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def fit(examples: list[tuple[int, str, str]], epochs: int = 4, rate: float = 0.5, seed: int = 11) -> Model:
-    """A model from (document, language, text): SGD example by example, then temperature and threshold on kept-out documents."""
+    """A model from (document, language, text): SGD example by example, then temperature and threshold on kept-out documents.
+
+    Beside the languages it learns made-up foreign text as a class of its own, which rejects and is never an answer.
+    """
     labels = sorted({x[1] for x in examples})
     if not labels:
-        return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 1.0)
+        return Model([], np.zeros((BUCKETS, 1), np.float32), np.zeros(1), 1.0, 0.0)
     draw = np.random.default_rng(seed)
     kept_out = {d for d in sorted({x[0] for x in examples}) if draw.random() < CALIBRATION}
     code = {x: i for i, x in enumerate(labels)}
-    data = [(d, code[lang], *np.unique(subwords(text), return_counts=True)) for d, lang, text in examples]
-    data = [(d, y, u, (n / n.sum()).astype(np.float32)) for d, y, u, n in data if len(u)]
+    texts = [(d, code[lang], text) for d, lang, text in examples]
+    texts += [(d, len(labels), foreign(text, draw)) for d, _, text in texts if draw.random() < FOREIGN]
+    data = [(d, y, *np.unique(subwords(text), return_counts=True), len(text.split())) for d, y, text in texts]
+    data = [(d, y, u, (n / n.sum()).astype(np.float32), words) for d, y, u, n, words in data if len(u)]
     train = [x for x in data if x[0] not in kept_out] or data
     check = [x for x in data if x[0] in kept_out] or data
     emb = draw.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
-    out = draw.normal(0, 0.1, (DIM, len(labels))).astype(np.float32)
-    bias = np.zeros(len(labels), np.float32)
+    out = draw.normal(0, 0.1, (DIM, len(labels) + 1)).astype(np.float32)
+    bias = np.zeros(len(labels) + 1, np.float32)
     steps, total = 0, epochs * len(train)
     for _ in range(epochs):
         for i in draw.permutation(len(train)):
-            _, y, u, w = train[i]
+            _, y, u, w, _ = train[i]
             v = w @ emb[u]
             g = softmax(v @ out + bias)
             g[y] -= 1
@@ -100,13 +125,18 @@ def fit(examples: list[tuple[int, str, str]], epochs: int = 4, rate: float = 0.5
             emb[u] -= (eta * 10 * w)[:, None] * back
             steps += 1
     table = emb @ out
-    z = np.array([w @ table[u] + bias for _, _, u, w in check])
+    z = np.array([w @ table[u] + bias for _, _, u, w, _ in check])
     y = np.array([x[1] for x in check])
     nll = lambda t: -np.log(softmax(z / t)[np.arange(len(y)), y] + 1e-12).mean()
     temperature = min((float(t) for t in np.geomspace(0.05, 20, 61)), key=nll)
-    p = softmax(z / temperature)
-    right = p.max(axis=1)[p.argmax(axis=1) == y]
-    threshold = min([REJECT_BELOW / max(2, len(labels)), *([float(np.quantile(right, 0.001))] if len(right) else [])])
+    # whole documents are judged, so what their windows give together is what the threshold is set by
+    known = []
+    for _, own in itertools.groupby(sorted(x for x in examples if x[0] in kept_out or not kept_out), key=lambda x: x[0]):
+        parts = list(own)
+        if sum(len(text.split()) for *_, text in parts) >= JUDGED_WORDS:
+            buckets = np.concatenate([subwords(text) for *_, text in parts])
+            known.append(softmax((table[buckets].mean(axis=0) + bias) / temperature)[code[parts[0][1]]] if len(buckets) else 1.0)
+    threshold = SLACK * float(np.quantile(known, FALSE_REJECTS)) if known else 0.0
     return Model(labels, table, bias.astype(np.float64), temperature, threshold)
 
 
@@ -125,22 +155,23 @@ def training_sample(docs: DataFrame) -> list[tuple[int, str, str]]:
 
 
 def predict(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """(doc_id, text, held_out, lang_pred, score, rejected) for every row, by a model that is fitted here if none is given.
+    """(doc_id, held_out, lang_pred, score, rejected) for every row, by a model that is fitted here if none is given.
 
     Only text and language of documents whose crc32(doc_id) mod 4 is not 2 are learned from; only the text is an input of a
     prediction, and all of it. Null texts and texts without a letter are "und" with score 0, and rejected. Other texts always
-    have a learned language and are rejected if its calibrated probability is under the model's threshold. Without labelled
-    rows all is "und". A null doc_id is not held out. Equal rows come out as often as they come in; other columns are ignored.
+    have a learned language, and its probability against the other ones and against foreign text as the score; they are
+    rejected if the score is under the model's threshold. Without labelled rows all is "und".
+    A null doc_id is not held out. Equal rows come out as often as they come in; other columns are ignored.
     """
     model = model or fit(training_sample(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lang, score, rejected = zip(*(model.predict(x.as_py()) for x in batch.column(1)), strict=True) if batch.num_rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], ["doc_id", "text", "held_out", "lang_pred", "score", "rejected"])
+            lang, score, rejected = zip(*(model.predict(x.as_py()) for x in batch.column(2)), strict=True) if batch.num_rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], ["doc_id", "held_out", "lang_pred", "score", "rejected"])
 
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
-    return docs.select("doc_id", "text", held_out.alias("held_out")).mapInArrow(lean(run), "doc_id long, text string, held_out boolean, lang_pred string, score double, rejected boolean")
+    return docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(lean(run), "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean")
 
 
 def accepted(docs: DataFrame, model: Model | None = None) -> DataFrame:

@@ -350,6 +350,21 @@ def test_language_of_a_held_out_row_is_not_learned(spark):
     assert {x.lang_pred for x in language_id.predict(spark.createDataFrame(rows, SCHEMA)).collect()} == {"aa"}
 
 
+def test_an_unseen_language_is_rejected():
+    r = random.Random(15)
+    tongues = TONGUES | {"dd": ["pra", "sto", "gli", "nen"], "ee": ["wa", "zu", "ngi", "kho"]}
+
+    def said(lang, n):
+        return " ".join("".join(r.choices(tongues[lang], k=r.randrange(1, 4))) for _ in range(n))
+
+    for left_out in tongues:
+        known = [x for x in tongues if x != left_out]
+        model = language_id.fit([(i, lang, said(lang, 40)) for i in range(800) for lang in [r.choice(known)]])
+        seen = [(lang, *model.predict(said(lang, r.randrange(12, 200)))) for lang in known for _ in range(200)]
+        assert sum(a == b for a, b, *_ in seen) / len(seen) > 0.99 and sum(x[3] for x in seen) / len(seen) < 0.01
+        assert sum(model.predict(said(left_out, r.randrange(30, 200)))[2] for _ in range(200)) / 200 > 0.9, left_out
+
+
 def test_nothing_to_learn_from(spark):
     assert {(x.lang_pred, x.score) for x in language_id.predict(docs(spark, ODD)).collect()} == {("und", 0.0)}
     assert language_id.predict(docs(spark, [])).count() == 0
