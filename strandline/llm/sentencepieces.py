@@ -7,13 +7,15 @@ A text is a lattice of pieces. An encoding is the best path through it, where a
   Every text has exactly one path of weight 0, and it is what merging by rank gives.
 
 Giant texts are cut at any place. The state at a cut is the piece that covers the character before it. Each chunk yields the
-max-plus matrix from states at its left cut to states at its right cut; the matrices of a text are multiplied, the best
-state at every cut is read off, and each chunk is then traced back by itself.
+max-plus matrix from states at its left cut to states at its right cut. The product of matrices is associative, so runs of FAN
+neighbours are multiplied at a time, all runs at once, level by level; going back down, each run finds the states at its inner
+cuts between the two that it was given, and each chunk is then traced back by itself. No task ever has a whole text's matrices.
 """
 
 from __future__ import annotations
 
 import array
+import functools
 import hashlib
 import itertools
 import re
@@ -22,19 +24,20 @@ from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import few, lean, written
+from strandline.llm.common import groups, lean, written
 
 SPACE = "▁"
 #: Texts of more characters than this are cut in chunks of so many.
 CHUNK = 16_384
-#: Stretches whose pieces a task holds, and as many older ones.
-HELD = 350_000
+#: Matrices that are multiplied at a time.
+FAN = 16
+#: Stretches whose pieces a worker holds, and as many older ones.
+HELD = 250_000
 #: Pairs of pieces of which a task knows whether they fit.
 LINKS = 400_000
 NEVER = float("-inf")
@@ -366,14 +369,42 @@ class Encoder:
         return [*out, *self.trace(text, paths, goal.end - goal.size, key, at), *self.piece_ids(text, goal)]
 
 
+_AT_WORK: dict[str, Encoder] = {}
+
+
+def at_work(name: str, spec: Callable[[], Spec]) -> Encoder:
+    """This worker's encoder of a model: what it holds of earlier tasks serves the next ones."""
+    if name not in _AT_WORK:
+        _AT_WORK.clear()
+        _AT_WORK[name] = Encoder(spec())
+    return _AT_WORK[name]
+
+
 def state(arc: Arc, cut: int) -> str:
     """A state's name: how far before the cut its piece begins, and the piece's length and id."""
     return f"{cut - (arc.end - arc.size)}:{arc.size}:{arc.id}"
 
 
-def best_states(chunks: list[tuple[int, list[tuple[str, str, float]]]]) -> list[tuple[int, str, str]]:
-    """(chunk, state at its left, state at its right) of the best path, from the chunks' matrices in order."""
-    ahead = {"start": 0.0}
+Cells = list[tuple[str, str, float]]
+
+
+def product(left: Cells, right: Cells) -> Cells:
+    """The max-plus product of two matrices of neighbouring stretches."""
+    onward: dict[str, list[tuple[str, float]]] = {}
+    for b, c, w in right:
+        onward.setdefault(b, []).append((c, w))
+    best: dict[tuple[str, str], float] = {}
+    for a, b, v in left:
+        for c, w in onward.get(b, ()):
+            if best.get((a, c), NEVER) < v + w:
+                best[a, c] = v + w
+    return [(a, c, w) for (a, c), w in best.items()]
+
+
+def best_states(chunks: list[tuple[int, Cells]], enter: str = "start", leave: str | None = None) -> list[tuple[int, str, str]]:
+    """(number, state at its left, state at its right) on the best path through neighbouring matrices, between two states; the
+    last one is the best there is if none is given."""
+    ahead = {enter: 0.0}
     back: list[dict[str, str]] = []
     for _, cells in chunks:
         best: dict[str, tuple[float, str]] = {}
@@ -382,7 +413,7 @@ def best_states(chunks: list[tuple[int, list[tuple[str, str, float]]]]) -> list[
                 best[b] = (ahead[a] + w, a)
         ahead, came = {b: w for b, (w, _) in best.items()}, {b: a for b, (_, a) in best.items()}
         back.append(came)
-    right = max(ahead, key=lambda k: ahead[k])
+    right = max(ahead, key=lambda k: ahead[k]) if leave is None else leave
     out = []
     for (n, _), came in zip(reversed(chunks), reversed(back), strict=True):
         out.append((n, came[right], right))
@@ -390,6 +421,52 @@ def best_states(chunks: list[tuple[int, list[tuple[str, str, float]]]]) -> list[
     return out[::-1]
 
 
+STATES = "text_sha256 string, k int, enter string, leave string"
+
+
+def in_runs(rows: DataFrame, work: Callable[[str, int, pa.Table], list[tuple]], schema: str, kinds: list[pa.DataType]) -> DataFrame:
+    """work(text, run, rows) for every run of FAN neighbours of every text, dealt over all tasks."""
+    by = ["text_sha256", "run"]
+    names = [x.split()[0] for x in schema.split(", ")]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, by):
+            out = work(table.column("text_sha256")[0].as_py(), table.column("run")[0].as_py(), table)
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names)
+
+    dealt = rows.withColumn("run", F.expr(f"k div {FAN}").cast("int")).repartition(parts, *by).sortWithinPartitions(*by, "k")
+    return dealt.mapInArrow(lean(go), schema)
+
+
+def matrices_of(table: pa.Table) -> list[tuple[int, Cells]]:
+    return [(k, [(x["a"], x["b"], x["w"]) for x in c]) for k, c in zip(table.column("k").to_pylist(), table.column("cells").to_pylist(), strict=True)]
+
+
+def states_at_cuts(cells: DataFrame, most: int) -> DataFrame:
+    """(text_sha256, k, enter, leave): the states at both ends of every chunk, from the matrices of chunks 0 to at most ``most``."""
+
+    def multiplied(text: str, run: int, table: pa.Table) -> list[tuple]:
+        whole = functools.reduce(product, (c for _, c in matrices_of(table)))
+        return [(text, run, [{"a": a, "b": b, "w": w} for a, b, w in whole])]
+
+    def chosen(text: str, run: int, table: pa.Table) -> list[tuple]:
+        enter, leave = ("start", None) if "enter" not in table.column_names else (table.column(c)[0].as_py() for c in ("enter", "leave"))
+        return [(text, *x) for x in best_states(matrices_of(table), enter, leave)]
+
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.string()]
+    levels = [cells]
+    while most >= FAN:  # a level is read twice: on the way up and on the way down
+        levels[-1] = written(levels[-1], "matrices")
+        levels.append(in_runs(levels[-1], multiplied, "text_sha256 string, k int, cells array<struct<a:string,b:string,w:double>>", [pa.string(), pa.int32(), CELLS]))
+        most //= FAN
+    states = in_runs(levels[-1], chosen, STATES, kinds)
+    for level in reversed(levels[:-1]):
+        between = states.withColumnRenamed("k", "run")
+        states = in_runs(level.withColumn("run", F.expr(f"k div {FAN}").cast("int")).join(between, ["text_sha256", "run"]).drop("run"), chosen, STATES, kinds)
+    return states
+
+
 def marked(text: str) -> str:
     """As the model reads it: a blank before it, and blanks as marks."""
     return SPACE + text.replace(" ", SPACE) if text else ""
@@ -405,14 +482,14 @@ def encode(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
 
     The digest is the text's (null for a null text), kept to check decoding. Null and empty texts have no ids. Texts of more
     than ``chunk`` characters go through the scan: their chunks are dealt over all tasks twice, once for the matrices and
-    once to be traced back, and only the matrices of a text meet in one task. Equal giant texts are encoded once. Equal rows
+    once to be traced back, and runs of FAN matrices in between. Equal giant texts are encoded once. Equal rows
     come out as often as they come in; a null doc_id stays null; other columns are ignored.
     """
-    loaded = load(model)
+    loaded, name = load(model), hashlib.sha256(model).hexdigest()
     spec = docs.sparkSession.sparkContext.broadcast(tuple(loaded))
 
     def plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Spec(*spec.value))
+        encoder = at_work(name, lambda: Spec(*spec.value))
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
@@ -420,15 +497,15 @@ def encode(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), lists(ids)], ["doc_id", "text_sha256", "ids"])
 
     rows = docs.select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
-    whole = rows.where(is_small(chunk)).coalesce(few(docs)).mapInArrow(lean(plain), "doc_id long, text_sha256 string, ids array<int>")
-    return whole.unionByName(encode_giants(rows.where(~is_small(chunk)), loaded, chunk))
+    whole = rows.where(is_small(chunk)).mapInArrow(lean(plain), "doc_id long, text_sha256 string, ids array<int>")
+    return whole.unionByName(encode_giants(rows.where(~is_small(chunk)), loaded, name, chunk))
 
 
 def is_small(chunk: int) -> Column:
     return F.coalesce(F.length("text") <= chunk, F.lit(True))
 
 
-def encode_giants(giant: DataFrame, loaded: Spec, chunk: int) -> DataFrame:
+def encode_giants(giant: DataFrame, loaded: Spec, name: str, chunk: int) -> DataFrame:
     """encode() for texts (doc_id, text, text_sha256) that are cut in chunks."""
     spec = giant.sparkSession.sparkContext.broadcast(tuple(loaded))
     around = loaded.longest
@@ -444,25 +521,22 @@ def encode_giants(giant: DataFrame, loaded: Spec, chunk: int) -> DataFrame:
             F.substring(F.col("t"), F.greatest(F.col("k") * chunk - around, F.lit(0)) + 1, F.lit(chunk + 2 * around)).alias("t"),
         )
     )
-    parts = written(parts.select("text_sha256", "k", "last", "lo", (F.col("lo") + F.col("size")).alias("hi"), F.substring(F.col("t"), F.lit(1), F.col("lo") + F.col("size") + F.when(F.col("last"), 0).otherwise(around)).alias("t")), "chunks", few(giant))
+    parts = written(parts.select("text_sha256", "k", "last", "lo", (F.col("lo") + F.col("size")).alias("hi"), F.substring(F.col("t"), F.lit(1), F.col("lo") + F.col("size") + F.when(F.col("last"), 0).otherwise(around)).alias("t")), "chunks")
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Spec(*spec.value))
+        encoder = at_work(name, lambda: Spec(*spec.value))
         for batch in (b.slice(at, 200) for b in batches for at in range(0, b.num_rows, 200)):
             cells = [encoder.matrix(r["t"], r["lo"], r["hi"], r["k"] == 0, r["last"]) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([[{"a": a, "b": b, "w": w} for a, b, w in c] for c in cells], CELLS)], ["text_sha256", "k", "cells"])
 
-    def product(frame: pd.DataFrame) -> pd.DataFrame:
-        chunks = [(k, [(x["a"], x["b"], x["w"]) for x in c]) for k, c in sorted(zip(frame["k"], frame["cells"], strict=True), key=lambda x: x[0])]
-        return pd.DataFrame([(frame["text_sha256"].iloc[0], *x) for x in best_states(chunks)], columns=["text_sha256", "k", "enter", "leave"])
-
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Spec(*spec.value))
+        encoder = at_work(name, lambda: Spec(*spec.value))
         for batch in (b.slice(at, 200) for b in batches for at in range(0, b.num_rows, 200)):
             ids = [np.array(encoder.chunk(r["t"], r["lo"], r["hi"], r["enter"], r["leave"]), np.int32) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists(ids)], ["text_sha256", "k", "ids"])
 
-    states = parts.mapInArrow(lean(matrices), "text_sha256 string, k int, cells array<struct<a:string,b:string,w:double>>").groupBy("text_sha256").applyInPandas(product, "text_sha256 string, k int, enter string, leave string")
+    cells = parts.mapInArrow(lean(matrices), "text_sha256 string, k int, cells array<struct<a:string,b:string,w:double>>")
+    states = states_at_cuts(cells, parts.agg(F.max("k")).first()[0] or 0)
     pieces = parts.join(states, ["text_sha256", "k"]).mapInArrow(lean(traced), "text_sha256 string, k int, ids array<int>")
     joined = pieces.groupBy("text_sha256").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: x.ids)).alias("ids"))
     return giant.select("doc_id", "text_sha256").join(joined, "text_sha256").select("doc_id", "text_sha256", "ids")
@@ -523,11 +597,11 @@ def round_trips(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
     The same ids and texts as these two give, and the same cases; but a text that is not cut is encoded, decoded and compared
     in one Python step, so neither ids nor texts go back to the JVM. A null text counts as empty.
     """
-    loaded = load(model)
+    loaded, name = load(model), hashlib.sha256(model).hexdigest()
     spec = docs.sparkSession.sparkContext.broadcast(tuple(loaded))
 
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(Spec(*spec.value)), Decoder(Spec(*spec.value))
+        encoder, decoder = at_work(name, lambda: Spec(*spec.value)), Decoder(Spec(*spec.value))
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
@@ -537,9 +611,9 @@ def round_trips(docs: DataFrame, model: bytes, chunk: int = CHUNK) -> DataFrame:
                 columns = [pa.array(map(len, ids), pa.int64()), pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids], pa.string()), pa.array(back, pa.bool_())]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["doc_id", "n_tokens", "ids_sha256", "round_trip"])
 
-    small = docs.select("doc_id", "text").where(is_small(chunk)).coalesce(few(docs))
+    small = docs.select("doc_id", "text").where(is_small(chunk))
     whole = small.mapInArrow(lean(both), "doc_id long, n_tokens long, ids_sha256 string, round_trip boolean")
     giant = docs.select("doc_id", "text", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")).where(~is_small(chunk))
-    rest = decode(encode_giants(giant, loaded, chunk), model)
+    rest = decode(encode_giants(giant, loaded, name, chunk), model)
     same = F.sha2(F.col("text").cast("binary"), 256) == F.col("text_sha256")
     return whole.unionByName(rest.select("doc_id", "n_tokens", "ids_sha256", same.alias("round_trip")))

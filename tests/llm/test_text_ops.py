@@ -1,5 +1,6 @@
 """Decontamination, license scans, SentencePiece, language ID, substring dedup and pseudonyms against plain versions."""
 
+import functools
 import hashlib
 import random
 import re
@@ -302,7 +303,28 @@ def test_unigram_paths_weigh_as_the_librarys(unigram):
                 assert encoder.score(scan(encoder, text, chunk)) == pytest.approx(encoder.score(ids), rel=1e-6), (text, chunk)
 
 
-def test_encoding_and_decoding_tables(spark, bpe):
+def test_products_are_associative(bpe):
+    """Any bracketing of a text's matrices is the same matrix, and runs of any length give the states that one pass gives."""
+    raw, sp = bpe
+    encoder, r = sentencepieces.Encoder(sentencepieces.load(raw)), random.Random(16)
+    for text in samples(sp)[5::200]:
+        m, around, chunk = sentencepieces.marked(text), encoder.spec.longest, 3
+        n = -(-len(m) // chunk)
+        cells = []
+        for k in range(n):
+            lo, begin = min(k * chunk, around), max(k * chunk - around, 0)
+            hi = lo + min(chunk, len(m) - k * chunk)
+            cells.append(encoder.matrix(m[begin : begin + hi + (0 if k == n - 1 else around)], lo, hi, k == 0, k == n - 1))
+        once = sorted(functools.reduce(sentencepieces.product, cells))
+        while len(cells) > 1:
+            i = r.randrange(len(cells) - 1)
+            cells[i : i + 2] = [sentencepieces.product(cells[i], cells[i + 1])]
+        assert sorted(cells[0]) == once
+
+
+@pytest.mark.parametrize("fan", [16, 3])
+def test_encoding_and_decoding_tables(spark, bpe, fan, monkeypatch):
+    monkeypatch.setattr(sentencepieces, "FAN", fan)
     raw, sp = bpe
     r = random.Random(6)
     texts = [*ODD, prose(r, 3000, POOL), "z" * 3000, prose(r, 3000, POOL), "日本" * 900, "a b\n" * 700]
