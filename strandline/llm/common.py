@@ -127,19 +127,25 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
 
 #: A key with more than one in HOT of all rows is hot, so there are fewer than HOT hot keys, whatever the input.
 HOT = 1000
+#: Rows of a key that any task can take.
+SOME = 500
 
 
 def joined_to_one(rows: DataFrame, ones: DataFrame, keys: list[str], count: str, spread: str) -> DataFrame:
     """rows left-joined to ``ones``, which has one row a key and says in ``count`` how many rows at least have the key.
 
     Hot keys are joined from a broadcast of fewer than HOT rows, and their rows are dealt by ``spread`` in place of the key
-    for the shuffled join of the rest; so no task gets all rows of a key. ``ones`` is read twice: give a written table.
+    for the shuffled join of the rest; so no task gets all rows of a key. Where no key has many rows (SOME) it is a plain
+    join. ``ones`` is read more than once: give a written table.
     """
-    total = ones.agg(F.sum(count)).first()[0] or 0
+    total, most = ones.agg(F.coalesce(F.sum(count), F.lit(0)), F.coalesce(F.max(count), F.lit(0))).first()
     values = [c for c in ones.columns if c not in keys]
-    hot = ones.where(F.col(count) > total / HOT).select(*keys, F.struct(*values).alias("_hot"))
+    if most <= max(SOME, total / HOT):
+        return rows.join(ones, keys, "left").select(*rows.columns, *values)
+    least = max(SOME, total / HOT)
+    hot = ones.where(F.col(count) > least).select(*keys, F.struct(*values).alias("_hot"))
     known = rows.join(F.broadcast(hot), keys, "left")
-    other = ones.where(F.col(count) <= total / HOT).select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(*values).alias("_cold"))
+    other = ones.where(F.col(count) <= least).select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(*values).alias("_cold"))
     dealt = F.when(F.col("_hot").isNull(), F.col(keys[0])).otherwise(F.xxhash64(spread))
     same = F.col("_hot").isNull() & (F.col("_deal") == F.col(f"_{keys[0]}"))
     for k in keys[1:]:
@@ -205,22 +211,28 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node that each node of the edges (a, b) can reach.
 
-    Alternates the large-star and small-star steps until the edges are stars. Every round is one pair of aggregations with
-    partial sums before the shuffle, written to the shared folder; nothing is collected but two numbers a round.
+    Alternates the large-star and small-star steps until no root has a smaller neighbour. Aggregations have partial minima, a
+    node with very many edges is joined from a broadcast (joined_to_one), tables of a round are written to the shared folder
+    and deleted with the next; nothing is collected but counts.
     """
     files = few(edges.sparkSession)
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", files)
-    mark = None
+
+    def to_least(pairs: DataFrame, own: bool) -> tuple[DataFrame, DataFrame]:
+        """pairs (a, b) with the smallest b of each a (or a itself) as m, and the table that must be kept for it."""
+        m = F.min("b")
+        least = written(pairs.groupBy("a").agg(m.alias("_m"), F.count("*").alias("c")).select("a", (F.least("a", "_m") if own else F.col("_m")).alias("m"), "c"), "least", files)
+        return joined_to_one(pairs.withColumn("_spread", F.xxhash64("b")), least, ["a"], "c", "_spread"), least
+
     for _ in range(most_rounds):
-        both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
+        near, least = to_least(now.union(now.select("b", "a")), True)
+        large = written(near.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), "edges", files)
+        near, lower = to_least(large, False)
+        small = near.select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
         before, now = now, written(small, "edges", files)
-        dropped(before)
-        new = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if new == mark:
+        for old in (before, least, large, lower):
+            dropped(old)
+        roots = now.select(F.col("b").alias("_b")).distinct()
+        if roots.join(now, F.col("_b") == F.col("a"), "left_semi").isEmpty():
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        mark = new
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -160,6 +160,7 @@ def test_links_are_all_found(spark, monkeypatch, most):
 
 def test_hot_keys_are_joined_from_a_broadcast(spark, monkeypatch):
     monkeypatch.setattr("strandline.llm.common.HOT", 10)
+    monkeypatch.setattr("strandline.llm.common.SOME", 20)
     r = random.Random(4)
     keys = [1] * 200 + [r.randrange(60) for _ in range(150)] + [None] * 5
     rows = spark.createDataFrame([(k, None if k is None else k * 2, i) for i, k in enumerate(keys)], "a long, b long, i long")
@@ -176,9 +177,23 @@ def test_masks_cover_all_differences():
             assert any(not apart & m for m in simhash.masks(4, rows))
 
 
-def test_components(spark):
+@pytest.mark.parametrize("some", [500, 5])
+def test_components(spark, monkeypatch, some):
+    monkeypatch.setattr("strandline.llm.common.SOME", some)
     r = random.Random(3)
     chain = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5, 5)]
+    hub = [(9000, 5000 + i) for i in range(60)] + [(4000 + i, 9000) for i in range(0, 60, 7)]
+    got = {x.node: x.root for x in components(spark.createDataFrame(hub, "a long, b long")).collect()}
+    assert got == {n: 4000 for n in {x for e in hub for x in e} - {4000}}
+    assert components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
+    for _ in range(3):
+        pairs = [(r.randrange(80), r.randrange(80)) for _ in range(60)]
+        root = list(range(80))
+        for _ in range(80):
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        got = {x.node: x.root for x in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+        assert got == {i: root[i] for i in range(80) if root[i] != i}
     r.shuffle(chain)
     got = {x.node: x.root for x in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert {n: t for n, t in got.items() if n != t} == {i: 0 for i in range(1, 201)} | {1000 + i: 1000 for i in range(1, 50)}
