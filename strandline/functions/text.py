@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,3 +29,8 @@ def without_stage(name: Column) -> Column:
 def mgrs_code(tile: Column) -> Column:
     """The catalogue's grid code of a tile name, which has no leading zeros."""
     return F.concat(F.lit("MGRS-"), F.ltrim(tile, F.lit("0")))
+
+
+def columns_matching(columns: list[str], pattern: str) -> list[str]:
+    """The columns whose name has a match of a pattern, in order."""
+    return [c for c in columns if re.search(pattern, c)]

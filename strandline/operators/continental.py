@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandline.functions import geometry as g
+from strandline.operators.mosaic import middle
 from strandline.operators.movement import regressions
 from strandline.operators.spatial import within
 
@@ -24,14 +25,17 @@ def hotspots(centres: DataFrame, points: DataFrame, dist: DataFrame, radius: flo
     """(stats, medians): for each centre (cid, x, y) the good points within the radius: n, trend of the yearly medians, and
     certainty; and those medians (cid, year, dist), rounded half to even to two places, as the trend uses them.
 
-    ``points`` has (uid, x, y, certainty), ``dist`` (uid, year, dist) stays long: wide years are made only at sinks. Points
-    are joined with their distances before the windows are, so the largest table is shuffled once by bucket.
+    ``points`` has (uid, x, y, certainty), ``dist`` (uid, year, dist) stays long: wide years are made only at sinks. A point
+    carries its years as one array through the one spatial join; counts and medians are read from the same pairs. A window
+    holds the points within its radius, a few thousand at 30 m spacing.
     """
     good = points.where("certainty = 'good'").select(uid, "x", "y")
-    years = good.join(dist, uid)
-    in_window = within(centres, years, radius, ["cid"])
-    medians = in_window.groupBy("cid", "year").agg(F.bround(F.median("dist"), 2).alias("dist"))
-    counts = within(centres, good, radius, ["cid"]).groupBy("cid").agg(F.count("*").alias("n"))
+    years = dist.where("dist is not null").groupBy(uid).agg(F.collect_list(F.struct("year", "dist")).alias("_years"))
+    pairs = within(centres, good.join(years, uid, "left").select("x", "y", "_years"), radius, ["cid"]).select("cid", "_years")
+    in_window = pairs.groupBy("cid").agg(F.count("*").alias("n"), F.flatten(F.collect_list("_years")).alias("_all"))
+    counts = in_window.select("cid", "n")
+    by_year = in_window.select("cid", F.explode("_all").alias("_y")).groupBy("cid", "_y.year").agg(F.sort_array(F.collect_list("_y.dist")).alias("_d"))
+    medians = by_year.select("cid", "year", F.bround(middle(F.col("_d")), 2).alias("dist"))
     stats = centres.select("cid", "x", "y").join(regressions(medians, "cid", with_p=False), "cid", "left").join(counts, "cid", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     enough = F.when(F.col("n") < radius / 30, "insufficient points").otherwise("good")
     return stats.withColumns({"radius_m": F.lit(radius), "certainty": enough}), medians

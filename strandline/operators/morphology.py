@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Weights of a 3 x 3 Gaussian of sigma 0.799: centre, side and corner. Fixed values.
@@ -44,21 +44,71 @@ def kernel_weights(sigma: float) -> dict[int, float]:
 
 def smooth(grid: DataFrame, keys: list[str], values: list[str], sigma: float = 0.799) -> DataFrame:
     """The weighted mean of the non-null values in a 3 x 3 block; null at edges (a place of the block is missing), and where the
-    middle is null."""
+    middle is null.
+
+    A cell's neighbours along x are added up in its row, then its neighbours' sums along y in its column: two sorts, and no
+    row is multiplied.
+    """
     weights = kernel_weights(sigma)
-    moved = spread(grid.select(*keys, "x", "y", *values), [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    w = F.element_at(F.array(*[F.lit(weights[d]) for d in (0, 1, 2)]), (F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy") + 1).cast("int"))
-    at_home = (F.col("dx") == 0) & (F.col("dy") == 0)
-    sums = []
+    row, column = Window.partitionBy(*keys, "y").orderBy("x"), Window.partitionBy(*keys, "x").orderBy("y")
+
+    def beside(name: str, along: str, over) -> tuple[Column, Column]:  # noqa: ANN001
+        there = F.col(along)
+        return tuple(F.when(f(along).over(over) == there + step, f(name).over(over)) for f, step in ((F.lag, -1), (F.lead, 1)))
+
+    zero, one = F.lit(0.0), F.lit(1)
+    cells = grid.select(*keys, "x", "y", *values).withColumn("_one", one)
+    sides = {"_wide": sum((F.coalesce(n, F.lit(0)) for n in beside("_one", "x", row)), F.lit(0))}
+    for v in values:
+        a, b = beside(v, "x", row)
+        sides |= {f"_s_{v}": F.coalesce(a, zero) + F.coalesce(b, zero), f"_n_{v}": F.when(a.isNotNull(), 1).otherwise(0) + F.when(b.isNotNull(), 1).otherwise(0), f"_v_{v}": F.coalesce(v, zero), f"_h_{v}": F.when(F.col(v).isNotNull(), 1).otherwise(0)}
+    wide = cells.withColumns(sides)
+
+    def around(name: str) -> Column:
+        return sum((F.coalesce(n, F.lit(0)) for n in beside(name, "y", column)), F.lit(0))
+
+    whole = (F.col("_wide") == 2) & (around("_wide") == 4)
+    out = {}
     for v in values:
-        total, weight = F.sum(F.col(v) * w), F.sum(F.when(F.col(v).isNotNull(), w))
-        here = F.max(F.when(at_home, F.col(v)))
-        sums.append(F.when((F.count("*") == 9) & here.isNotNull(), total / weight).alias(v))
-    return moved.groupBy(*keys, "x", "y").agg(*sums, F.max(at_home).alias("_cell")).where("_cell").drop("_cell")
+        total = F.col(f"_v_{v}") * weights[0] + (F.col(f"_s_{v}") + around(f"_v_{v}")) * weights[1] + around(f"_s_{v}") * weights[2]
+        weight = F.col(f"_h_{v}") * weights[0] + (F.col(f"_n_{v}") + around(f"_h_{v}")) * weights[1] + around(f"_n_{v}") * weights[2]
+        out[f"_o_{v}"] = F.when(whole & F.col(v).isNotNull(), total / weight)
+    return wide.withColumns(out).select(*keys, "x", "y", *[F.col(f"_o_{v}").alias(v) for v in values])
+
+
+#: Beyond this radius neighbourhoods are found on a tile's raster, not by joins with offsets.
+SMALL = 4
+
+
+def rastered(cells: DataFrame, keys: list[str], radius: int, within: DataFrame) -> DataFrame:
+    """The cells of ``within`` that are within the radius of a cell of the set, from distances on each tile's raster: first
+    along y, then along x. One group a tile and year."""
+    joined = within.select(*keys, "x", "y").join(cells.select(*keys, "x", "y").withColumn("_in", F.lit(True)), [*keys, "x", "y"], "left")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in joined.select(*keys, "x", "y").schema)
+
+    def near(frame: pd.DataFrame) -> pd.DataFrame:
+        x, y = ((frame[c] - frame[c].min()).to_numpy() for c in ("x", "y"))
+        there = np.zeros((int(x.max()) + 1, int(y.max()) + 1), bool)
+        there[x, y] = frame["_in"].eq(True).to_numpy(bool)
+        far = 1 << 20
+        places = np.where(there, np.arange(there.shape[1]), -far)
+        below = np.arange(there.shape[1]) - np.maximum.accumulate(places, axis=1)
+        places = np.where(there, np.arange(there.shape[1]), far)
+        above = np.minimum.accumulate(places[:, ::-1], axis=1)[:, ::-1] - np.arange(there.shape[1])
+        along = np.minimum(below, above).astype(np.int64) ** 2
+        best = along.copy()
+        for d in range(1, min(radius, len(along) - 1) + 1):
+            best[d:] = np.minimum(best[d:], along[:-d] + d * d)
+            best[:-d] = np.minimum(best[:-d], along[d:] + d * d)
+        return frame.loc[(best <= radius * radius)[x, y], [*keys, "x", "y"]]
+
+    return joined.groupBy(*keys).applyInPandas(near, fields)
 
 
 def dilate(cells: DataFrame, keys: list[str], radius: int, within: DataFrame | None = None) -> DataFrame:
-    """The set of cells within the radius of a cell of the set, kept to the cells of ``within``."""
+    """The set of cells within the radius of a cell of the set, kept to the cells of ``within``, which a large radius needs."""
+    if radius > SMALL and within is not None:
+        return rastered(cells, keys, radius, within)
     grown = spread(cells.select(*keys, "x", "y"), disk(radius)).select(*keys, "x", "y").distinct()
     return grown if within is None else grown.join(within.select(*keys, "x", "y"), [*keys, "x", "y"], "left_semi")
 
@@ -66,7 +116,7 @@ def dilate(cells: DataFrame, keys: list[str], radius: int, within: DataFrame | N
 def erode(cells: DataFrame, keys: list[str], radius: int, within: DataFrame) -> DataFrame:
     """The cells of the set with no cell outside the set within the radius. What lies beyond ``within`` counts as inside."""
     others = within.select(*keys, "x", "y").join(cells.select(*keys, "x", "y"), [*keys, "x", "y"], "left_anti")
-    return cells.select(*keys, "x", "y").join(dilate(others, keys, radius), [*keys, "x", "y"], "left_anti")
+    return cells.select(*keys, "x", "y").join(dilate(others, keys, radius, within), [*keys, "x", "y"], "left_anti")
 
 
 def connected_to(core: DataFrame, candidate: DataFrame, keys: list[str]) -> DataFrame:
@@ -166,7 +216,7 @@ def analysis_zone(core: DataFrame, index: DataFrame, keys: list[str], value: str
     return joined.groupBy(*keys).applyInPandas(grow, fields)
 
 
-def consensus_land(stack: DataFrame, cell: list[str], indices: tuple[str, ...] = ("twndwi", "mndwi", "ndwi")) -> DataFrame:
+def consensus_land(stack: DataFrame, cell: list[str], indices: tuple[str, ...] = ("ndwi", "mndwi", "nirwi")) -> DataFrame:
     """(cell, land): whether the median over all years of each index is below 0."""
     agg = stack.groupBy(*cell).agg(*[F.median(i).alias(i) for i in indices])
     land = F.lit(True)
@@ -175,21 +225,89 @@ def consensus_land(stack: DataFrame, cell: list[str], indices: tuple[str, ...] =
     return agg.select(*cell, land.alias("land"))
 
 
-def with_masks(grid: DataFrame, values: list[str], keep: DataFrame | None = None, drop: DataFrame | None = None) -> DataFrame:
-    """Values only in the cells (x, y) of ``keep`` and outside those of ``drop``; elsewhere null, and no row is lost."""
+def with_masks(grid: DataFrame, values: list[str], keep: DataFrame | None = None, drop: DataFrame | None = None, cell: tuple[str, ...] = ("x", "y")) -> DataFrame:
+    """Values only in the cells of ``keep`` and outside those of ``drop``; elsewhere null, and no row is lost. ``cell`` names
+    what a cell is: with several tiles, the tile too; with yearly masks, the year."""
     for cells, inside in ((keep, True), (drop, False)):
         if cells is not None:
-            grid = grid.join(cells.select("x", "y").distinct().withColumn("_in", F.lit(True)), ["x", "y"], "left")
+            grid = grid.join(cells.select(*cell).distinct().withColumn("_in", F.lit(True)), list(cell), "left")
             ok = F.coalesce("_in", F.lit(False)) == inside
             grid = grid.withColumns({v: F.when(ok, F.col(v)) for v in values}).drop("_in")
     return grid
 
 
-def inland_water(ocean: DataFrame, index: DataFrame, keys: list[str], value: str = "twndwi", radius: int = 2) -> DataFrame:
+def inland_water(ocean: DataFrame, index: DataFrame, keys: list[str], value: str = "twndwi", radius: int = 2, cell: tuple[str, ...] = ("x", "y")) -> DataFrame:
     """Water cells that are not connected to the ocean: water is an index of 0 or more, or no index where the consensus has
-    ocean; the ocean's core is the consensus eroded. ``ocean`` has (x, y) of consensus cells, ``index`` a row a cell and key."""
+    ocean; the ocean's core is the consensus eroded. ``ocean`` has a row for each consensus ``cell``, ``index`` one a cell and key."""
     cells = [*keys, "x", "y"]
-    wide = index.select(*cells, value).join(ocean.select("x", "y").withColumn("ocean", F.lit(True)), ["x", "y"], "left")
+    wide = index.select(*cells, value).join(ocean.select(*cell).withColumn("ocean", F.lit(True)), list(cell), "left")
     water = wide.where((F.col(value) >= 0) | (F.col(value).isNull() & F.coalesce("ocean", F.lit(False)))).select(*cells)
     core = erode(wide.where("ocean").select(*cells), keys, radius, index)
     return water.join(connected_to(core, water, keys), cells, "left_anti")
+
+
+def land_masks(cells: DataFrame, land: DataFrame | None = None, additions: DataFrame | None = None, scale: float = 1.0, x0: float = 0.0, y0: float = 0.0) -> DataFrame:
+    """cells (tile_id, x, y) with ``mapped`` (the cell of a land raster (cx, cy, land) that is nearest is land) and ``added``
+    (the cell's centre is in one of the rings of ``additions``). A cell that the raster lacks is no land.
+
+    ``scale`` is a cell's size in raster cells, (x0, y0) where cell (0, 0) has its centre.
+    """
+    out = cells.withColumns({"_px": F.col("x") * scale + x0, "_py": F.col("y") * scale + y0})
+    if land is None:
+        out = out.withColumn("mapped", F.lit(False))
+    else:
+        near = land.where("land").select(F.col("cx").cast("long").alias("_cx"), F.col("cy").cast("long").alias("_cy")).distinct().withColumn("_land", F.lit(True))
+        out = out.withColumns({"_cx": F.round("_px").cast("long"), "_cy": F.round("_py").cast("long")}).join(near, ["_cx", "_cy"], "left")
+        out = out.withColumn("mapped", F.coalesce("_land", F.lit(False))).drop("_land", "_cx", "_cy")
+    if additions is None:
+        return out.withColumn("added", F.lit(False)).drop("_px", "_py")
+    from strandline.operators.spatial import with_region
+
+    rings = additions.select("ring").withColumn("_added", F.lit(True))
+    placed = with_region(out.withColumnsRenamed({"x": "_x", "y": "_y"}).withColumnsRenamed({"_px": "x", "_py": "y"}), rings, "_added")
+    return placed.drop("x", "y").withColumnsRenamed({"_x": "x", "_y": "y"}).withColumn("added", F.coalesce("_added", F.lit(False))).drop("_added")
+
+
+def core_land(masks: DataFrame, keys: list[str], radius: int = 60) -> DataFrame:
+    """The cells of core land: mapped land without its margin, whose borders may be mapped too wide, and all added land."""
+    inner = erode(masks.where("mapped"), keys, radius, masks)
+    return inner.unionByName(masks.where("added").select(*keys, "x", "y")).distinct()
+
+
+def vectorized(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, part, n, rings): a raster's true cells as polygons, one for each 4-neighbour component.
+
+    A ring is the closed border of a component's cells, squares with whole numbers at their middles; holes are rings of their
+    own, wound the other way. One group a tile and year.
+    """
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.select(*keys).schema)
+
+    def trace(frame: pd.DataFrame) -> pd.DataFrame:
+        x, y = frame["x"].to_numpy(), frame["y"].to_numpy()
+        labels = label(x, y)
+        rows = []
+        for part, which in enumerate(np.unique(labels)):
+            own = set(zip(x[labels == which].tolist(), y[labels == which].tolist(), strict=True))
+            onward: dict[tuple[int, int], list[tuple[int, int]]] = {}
+            for a, b in own:
+                # a border runs with the cell on its left, between corners in half cells
+                for (dx, dy), p, q in (((0, -1), (-1, -1), (1, -1)), ((1, 0), (1, -1), (1, 1)), ((0, 1), (1, 1), (-1, 1)), ((-1, 0), (-1, 1), (-1, -1))):
+                    if (a + dx, b + dy) not in own:
+                        onward.setdefault((2 * a + p[0], 2 * b + p[1]), []).append((2 * a + q[0], 2 * b + q[1]))
+            rings = []
+            for start in sorted(onward):
+                while onward.get(start):
+                    ring, here, came = [start], onward[start].pop(), start
+                    while here != start:
+                        ring.append(here)
+                        # at a corner that two cells touch, turn left: components are joined by sides only
+                        turn = lambda q, here=here, came=came: (here[0] - came[0]) * (q[1] - here[1]) - (here[1] - came[1]) * (q[0] - here[0])
+                        step = max(onward[here], key=turn)
+                        onward[here].remove(step)
+                        came, here = here, step
+                    rings.append([{"x": p / 2, "y": q / 2} for p, q in [*ring, start]])
+            rows.append((part, len(own), rings))
+        head = {k: [frame[k].iloc[0]] * len(rows) for k in keys}
+        return pd.DataFrame({**head, "part": [r[0] for r in rows], "n": [r[1] for r in rows], "rings": [r[2] for r in rows]})
+
+    return cells.select(*keys, "x", "y").distinct().groupBy(*keys).applyInPandas(trace, f"{fields}, part int, n int, rings array<array<struct<x:double,y:double>>>")

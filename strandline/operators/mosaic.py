@@ -29,10 +29,17 @@ def daily_first(obs: DataFrame, keys: list[str], bands: list[str], order: list[s
 
 
 def masked_daily(obs: DataFrame, keys: list[str], bands: list[str], order: list[str], cloudy: str = "cloudy", ts: str = "ts") -> DataFrame:
-    """mask_clouds_by_day and daily_first in one aggregation, so that rows are shuffled once and partly merged before."""
-    first = [F.min_by(b, F.when(F.col(b).isNotNull(), F.struct(*order))).alias(b) for b in bands]
-    days = obs.withColumn("day", day_of(F.col(ts))).groupBy(*keys, "day").agg(F.max(cloudy).alias("masked"), *first)
-    return days.select(*keys, "day", *[F.when(~F.col("masked"), F.col(b)).alias(b) for b in bands])
+    """mask_clouds_by_day and daily_first in one sort of the observations.
+
+    Rows are dealt by pixel, so composites of any period need no further shuffle. Within a day they run from the last to the
+    first, and the row at the end holds the first value of each band that is not null. A pixel and day has a scene or a few,
+    so there is nothing that merging before the shuffle would save.
+    """
+    back = Window.partitionBy(*keys, "day").orderBy(*[F.desc(o) for o in order])
+    so_far = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    days = obs.withColumn("day", day_of(F.col(ts))).repartition(*keys)
+    seen = days.withColumns({"_more": F.lead(F.lit(True)).over(back), "masked": F.max(cloudy).over(so_far), **{f"_{b}": F.last(b, ignorenulls=True).over(so_far) for b in bands}})
+    return seen.where("_more is null").select(*keys, "day", *[F.when(~F.col("masked"), F.col(f"_{b}")).alias(b) for b in bands])
 
 
 def middle(values: Column) -> Column:
@@ -65,6 +72,11 @@ def composite(daily: DataFrame, keys: list[str], bands: list[str], cutoff: float
     return medians.select(*keys, *names, *mads, "count", "twndwi_stdev")
 
 
+def clear_reflectance(value: Column, cloud_mask: Column, scene_class: Column, cloudy: tuple[int, ...] = (3, 8, 9, 10)) -> Column:
+    """A reflectance where its scene class is no cloud or shadow, a second cloud mask is 0 and the value is not the fill 0."""
+    return F.when((cloud_mask == 0) & (value != 0) & ~scene_class.isin(*cloudy), value)
+
+
 def scaled_by_processor(value: Column, gain: float, offset: float) -> Column:
     """Stored sensor numbers as reflectances."""
     return value * gain + offset

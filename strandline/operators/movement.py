@@ -38,23 +38,50 @@ def transects(vertices: DataFrame, line: list[str], spacing: float, reach: float
     return m.select(*line, "k", (x - nx).alias("ax"), (y - ny).alias("ay"), (x + nx).alias("bx"), (y + ny).alias("by"))
 
 
+#: The first, narrow search of annual_movements goes this share of the greatest distance.
+NARROW = 1 / 16
+
+
+def _nearest(points: DataFrame, segments: DataFrame, side: float, uid: str, by: list[str]) -> DataFrame:
+    """(uid, year, dist, angle) of the nearest place on a segment within ``side``: segments stand in every square bucket their
+    box touches, a point looks in 3 x 3. An aggregate with partial minima finds the nearest."""
+    floor = lambda c: F.floor(c / side)
+    near = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    looks = points.withColumn("_o", F.explode(near)).withColumns({"_i": floor(F.col("px")) + F.col("_o.i"), "_j": floor(F.col("py")) + F.col("_o.j")}).drop("_o")
+    span = lambda a, b: F.sequence(floor(F.least(a, b)), floor(F.greatest(a, b)))
+    dealt = segments.withColumn("_i", F.explode(span("ax", "bx"))).withColumn("_j", F.explode(span("ay", "by")))
+    px, py = F.col("px"), F.col("py")
+    at = g.nearest_on_segment(px, py, F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
+    met = looks.join(dealt, [*by, "_i", "_j"]).withColumn("_at", at).withColumn("dist", g.distance(px, py, F.col("_at.x"), F.col("_at.y")))
+    angle = F.when(F.col("dist") > 0, F.degrees(F.atan2(F.col("_at.y") - py, F.col("_at.x") - px)))
+    return met.where(F.col("dist") <= side).withColumn("angle", angle).groupBy(uid, "year").agg(F.min(F.struct("dist", "angle")).alias("_n")).select(uid, "year", "_n.dist", "_n.angle")
+
+
 def annual_movements(points: DataFrame, contours: DataFrame, uid: str = "uid", most: float = 5000.0, sign: DataFrame | None = None) -> DataFrame:
-    """(uid, year, dist): the distance from each point to the nearest contour point (uid's tile is not needed) of each year,
-    at most ``most`` away. ``contours`` has (year, x, y), vertices dense enough for the use.
+    """(uid, year, dist, angle): the distance from each point to the nearest place on each year's contour, at most ``most`` away,
+    and the direction to it in degrees (null on the contour itself).
 
-    Both sides meet in square buckets of side ``most``: a contour vertex stands in its own bucket, a point looks in 3 x 3, so the
-    join is an equi-join. The nearest is found by an aggregate with partial minima. ``sign`` (uid, year, wet) makes the
-    distance negative where the point's place is not wet in that year.
+    ``contours`` has segments (year, ax, ay, bx, by), or single points (year, x, y). Most points have a contour nearby, so
+    small buckets are searched first; only points and years without a hit look as far as ``most``. ``sign`` (uid, year, wet)
+    makes the distance negative where the point's place is not wet in that year.
     """
-    bucket = lambda c: F.floor(F.col(c) / most)
-    near = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    looks = points.select(uid, F.col("x").alias("px"), F.col("y").alias("py"), F.explode(near).alias("o")).select(uid, "px", "py", (F.floor(F.col("px") / most) + F.col("o.i")).alias("i"), (F.floor(F.col("py") / most) + F.col("o.j")).alias("j"))
-    there = contours.select("year", "x", "y", bucket("x").alias("i"), bucket("y").alias("j"))
-    d = g.distance(F.col("px"), F.col("py"), F.col("x"), F.col("y"))
-    found = looks.join(there, ["i", "j"]).withColumn("d", d).where(F.col("d") <= most).groupBy(uid, "year").agg(F.min("d").alias("dist"))
+    if "ax" not in contours.columns:
+        contours = contours.select("year", F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("x").alias("bx"), F.col("y").alias("by"))
+    segments = contours.select("year", "ax", "ay", "bx", "by")
+    places = points.select(uid, F.col("x").alias("px"), F.col("y").alias("py"))
+    close = _nearest(places, segments, most * NARROW, uid, [])
+    # a handful of years: what the narrow search did not find in a year
+    years = places.join(F.broadcast(segments.select("year").distinct()), how="cross")
+    rest = years.join(close.select(uid, "year"), [uid, "year"], "left_anti")
+    found = close.unionByName(_nearest(rest, segments, most, uid, ["year"]))
     if sign is None:
         return found
-    return found.join(sign.select(uid, "year", "wet"), [uid, "year"], "left").select(uid, "year", F.when(F.col("wet"), F.col("dist")).otherwise(-F.col("dist")).alias("dist"))
+    return found.join(sign.select(uid, "year", "wet"), [uid, "year"], "left").select(uid, "year", F.when(F.col("wet"), F.col("dist")).otherwise(-F.col("dist")).alias("dist"), "angle")
+
+
+def latest(df: DataFrame, year: str = "year") -> DataFrame:
+    """The rows of the last year there is: the baseline of movements. One row with that year is broadcast."""
+    return df.join(F.broadcast(df.agg(F.max(year).alias(year))), year, "left_semi")
 
 
 def relative_to(dist: DataFrame, baseline: int, uid: str = "uid") -> DataFrame:
@@ -109,6 +136,31 @@ def angle_spread(angles: DataFrame, uid: str = "uid") -> DataFrame:
     return angles.groupBy(uid).agg(F.degrees(F.sqrt(-2 * F.log(r))).alias("angle_std"))
 
 
+def axis_spread(angles: DataFrame, uid: str = "uid") -> DataFrame:
+    """(uid, angle_std): angle_spread of directions in which forth and back are the same."""
+    both = angle_spread(angles.select(uid, (F.col("angle") * 2).alias("angle")), uid)
+    return both.select(uid, (F.col("angle_std") / 2).alias("angle_std"))
+
+
+def sampled_along(lines: DataFrame, keys: list[str], cells: DataFrame, value: str, steps: int, res: float = 1.0, x0: float = 0.0, y0: float = 0.0) -> DataFrame:
+    """(keys, k, value, diff): a raster's value at ``steps`` + 1 places along each straight line (ax, ay, bx, by), from the
+    nearest cell (cx, cy), and the difference from the place before; null where there is no cell."""
+    from strandline.operators.spatial import nearest_cell
+
+    k = F.explode(F.sequence(F.lit(0), F.lit(steps)))
+    at = lambda a, b: F.col(a) + (F.col(b) - F.col(a)) * F.col("k") / steps
+    places = lines.select(*keys, "ax", "ay", "bx", "by", k.alias("k")).select(*keys, "k", at("ax", "bx").alias("x"), at("ay", "by").alias("y"))
+    seen = nearest_cell(places, cells.select("cx", "cy", value), res, x0, y0)
+    before = F.lag(value).over(Window.partitionBy(*keys).orderBy("k"))
+    return seen.withColumn("diff", F.col(value) - before).select(*keys, "k", value, "diff")
+
+
+def length_by_year(lines: DataFrame, years: int, year: str = "year") -> DataFrame:
+    """(year, km, km_a_year): the length of each year's lines in kilometres, and as a share of a number of years."""
+    km = F.sum(g.length(F.col("vertices"))) / 1000
+    return lines.groupBy(year).agg(km.alias("km"), (km / years).alias("km_a_year"))
+
+
 def signed_differences(transects: DataFrame) -> DataFrame:
     """Adds ``direction`` (1 where the sampled value falls along the line from v0 to v1, else -1) and ``diff``."""
     direction = F.when(F.col("v1") - F.col("v0") < 0, 1).otherwise(-1)

@@ -60,6 +60,11 @@ def task_list(ids: DataFrame, datetimes: list[str], log: DataFrame | None = None
     return tasks.join(done.select("column", "row", "datetime"), ["column", "row", "datetime"], "left_anti")
 
 
+def tiles_by_key(tiles: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The tiles of a list of (column, row): one for a task, or a debug list. A list that is too large to broadcast is shuffled."""
+    return tiles.join(wanted.select("column", "row").distinct(), ["column", "row"], "left_semi")
+
+
 def as_json_list(rows: DataFrame, order: list[str]) -> DataFrame:
     """One row with all rows as a JSON array, in order. For lists that are printed, so bounded by what a reader takes."""
     made = rows.agg(F.array_sort(F.collect_list(F.struct(*order, *[c for c in rows.columns if c not in order]))).alias("_all"))
@@ -116,8 +121,8 @@ def training_times(points: DataFrame, every: str = "2020/2022") -> DataFrame:
 
 
 def labelled(points: DataFrame, codes: DataFrame, code: str = "code", dropped: tuple[str, ...] = ("shift",)) -> DataFrame:
-    """Points with their code's columns, null for unknown codes; dropped codes are left out."""
-    return points.where(~F.col(code).isin(*dropped)).join(codes, code, "left")
+    """Points with their code's columns, null for unknown codes; dropped codes are left out, points without a code stay."""
+    return points.where(F.col(code).isNull() | ~F.col(code).isin(*dropped)).join(codes, code, "left")
 
 
 def fit_forest(rows: DataFrame, label: str, features: list[str] = PREDICTORS, trees: int = 100, seed: int = 1) -> PipelineModel:
@@ -138,6 +143,21 @@ def predict_forest(model: PipelineModel, rows: DataFrame, features: list[str] =
 # Validation ---------------------------------------------------------------------------------------------------------------
 
 
+def since(df: DataFrame, first: int, year: str = "year", last: int | None = None) -> DataFrame:
+    """Rows of a span of years; a predicate that reaches the scan."""
+    return df.where(F.col(year) >= first) if last is None else df.where(F.col(year).between(first, last))
+
+
+def undigitised(lines: DataFrame, by: str = "digitiser_name") -> DataFrame:
+    """Lines that nobody has drawn: the automatic ones."""
+    return lines.where(F.col(by).isNull())
+
+
+def both_significant(rows: DataFrame, a: str = "cl_sig_time", b: str = "val_sig_time") -> DataFrame:
+    """Rows in which both trends have a significance."""
+    return rows.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+
+
 def compared(cl: DataFrame, val: DataFrame, keys: list[str]) -> DataFrame:
     """Full outer join of results and validation, columns prefixed cl_ and val_, with abs and squared errors of the rates."""
     both = [c for c in cl.columns if c in val.columns and c not in keys]

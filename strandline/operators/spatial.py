@@ -59,17 +59,20 @@ def largest_overlap(pairs: DataFrame, keys: list[str], tie: str) -> DataFrame:
     return pairs.withColumn("_n", F.row_number().over(by)).where("_n = 1").drop("_n")
 
 
-def with_region(points: DataFrame, regions: DataFrame, attribute: str) -> DataFrame:
+def with_region(points: DataFrame, regions: DataFrame, attribute: str, side: float = 1.0) -> DataFrame:
     """Points with the attribute of the region (a closed ring of vertices) they are in, null in none; the smallest of several.
 
-    Regions meet points by 1 x 1 buckets of their bounding boxes, and only then are the rings tested.
+    Regions meet points by square buckets of their bounding boxes, and only then are the rings tested. ``side`` should be near
+    the regions' size: a region stands in every bucket that its box touches. Equal points stay as many as they are.
     """
     b = regions.withColumn("_b", g.bounds(F.col("ring")))
-    span = lambda lo, hi: F.sequence(F.floor(f"_b.{lo}"), F.floor(f"_b.{hi}"))
+    span = lambda lo, hi: F.sequence(F.floor(F.col(f"_b.{lo}") / side), F.floor(F.col(f"_b.{hi}") / side))
     dealt = b.withColumn("_i", F.explode(span("minx", "maxx"))).withColumn("_j", F.explode(span("miny", "maxy"))).select("_i", "_j", attribute, "ring")
-    placed = points.withColumns({"_i": F.floor("x"), "_j": F.floor("y")})
-    met = placed.join(dealt, ["_i", "_j"], "left").withColumn("_in", F.when(g.inside(F.col("x"), F.col("y"), F.col("ring")), F.col(attribute)))
-    return met.groupBy(*points.columns).agg(F.min("_in").alias(attribute))
+    # the points of a bucket and its regions: a point's regions are gathered beside it, so no point is merged or counted twice
+    held = dealt.groupBy("_i", "_j").agg(F.collect_list(F.struct(attribute, "ring")).alias("_r"))
+    placed = points.withColumns({"_i": F.floor(F.col("x") / side), "_j": F.floor(F.col("y") / side)})
+    found = F.array_min(F.transform(F.filter("_r", lambda r: g.inside(F.col("x"), F.col("y"), r.ring)), lambda r: r[attribute]))
+    return placed.join(held, ["_i", "_j"], "left").select(*points.columns, found.alias(attribute))
 
 
 def nearest_pairs(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
@@ -88,6 +91,26 @@ def total_bounds(points: DataFrame) -> DataFrame:
     return points.agg(F.min("x").alias("minx"), F.min("y").alias("miny"), F.max("x").alias("maxx"), F.max("y").alias("maxy"))
 
 
+def non_empty(lines: DataFrame, geometry: str = "vertices") -> DataFrame:
+    """Rows whose line has a vertex."""
+    return lines.where(F.size(F.coalesce(F.col(geometry), F.array())) > 0)
+
+
+def dissolved(parts: DataFrame, keys: list[str], order: list[str], geometry: str = "rings") -> DataFrame:
+    """One row a key: all rings of its parts as one geometry, in order, and the first part's other columns."""
+    others = [c for c in parts.columns if c not in (*keys, geometry)]
+    first = F.min_by(F.struct(*others), F.struct(*order)).alias("_first")
+    rings = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(*[F.col(o).alias(f"_{i}") for i, o in enumerate(order)], F.col(geometry).alias("g")))), lambda p: p.g)).alias(geometry)
+    return parts.groupBy(*keys).agg(first, rings).select(*keys, "_first.*", geometry)
+
+
+def zone_at(points: DataFrame, zones: DataFrame, side: float, name: str = "zone") -> DataFrame:
+    """Points with the time zone whose ring they are in; at sea, that of their longitude (x), as "Etc/GMT-n"."""
+    hours = F.round(F.col("x") / 15).cast("int")
+    at_sea = F.concat(F.lit("Etc/GMT"), F.when(hours > 0, F.concat(F.lit("-"), hours)).when(hours < 0, F.concat(F.lit("+"), -hours)).otherwise(""))
+    return with_region(points, zones, name, side).withColumn(name, F.coalesce(F.col(name), at_sea))
+
+
 def first_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key in a total order."""
     by = Window.partitionBy(*keys).orderBy(*order)

@@ -14,6 +14,11 @@ def cutoffs(tides: DataFrame, cell: list[str], centre: float = 0.0, share: float
     return tides.groupBy(*cell).agg((F.lit(centre) - spread).alias("lo"), (F.lit(centre) + spread).alias("hi"))
 
 
+def mean_cutoffs(limits: DataFrame, overlaps: DataFrame, area: list[str], image: list[str]) -> DataFrame:
+    """(image, lo, hi): the mean limits of all areas that an image overlaps (image, area)."""
+    return overlaps.join(limits, area).groupBy(*image).agg(F.avg("lo").alias("lo"), F.avg("hi").alias("hi"))
+
+
 def useful_times(tides: DataFrame, limits: DataFrame, cell: list[str]) -> DataFrame:
     """(ts): the times at which at least one coarse cell is within its limits. A cheap prune before fine data are touched."""
     return tides.join(limits, cell).where(F.col("height").between(F.col("lo"), F.col("hi"))).select("ts").distinct()

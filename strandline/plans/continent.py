@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import geometry as g
 from strandline.operators import continental
-from strandline.plans.cube import rounded
+from strandline.plans.cube import cut, cut_sql, rounded
 from strandline.plans.vectors import DISTANCES, REGR, distances
 from strandline.sources import sinks
 from strandline.sources.tables import table
@@ -57,8 +57,7 @@ def _centres(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _hotspots(radius: float):  # noqa: ANN202
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         stats, _ = continental.hotspots(_centres(spark, sf_dir), _points(spark, sf_dir), distances(spark, sf_dir), radius)
-        flagged = stats.where("n_reg is null or n_reg >= 3").select("cid", F.coalesce("rate", F.lit(0.0)).alias("rate"), F.coalesce("se", F.lit(0.0)).alias("se"), "n", "radius_m", "certainty")
-        return rounded(flagged, "rate", "se", places=4)
+        return cut(stats.select("cid", "rate", "se", "n", "radius_m", "certainty"), "rate", "se", places=4)
 
     return query
 
@@ -70,10 +69,9 @@ POINTS = """pts AS (SELECT c_custkey AS uid, c_acctbal * 8 AS x, CAST((c_custkey
 def _hotspots_sql(radius: float) -> str:
     near = f"(c.x - p.x) * (c.x - p.x) + (c.y - p.y) * (c.y - p.y) < {radius * radius}"
     return f"""WITH {DISTANCES.replace('dist AS (', 'dist0 AS (', 1)}, {POINTS}, near AS (SELECT cid, uid FROM ctr c JOIN pts p ON {near}),
-        dist AS (SELECT cid, year, CAST(round_even(median(dist), 2) AS DOUBLE) AS dist FROM near JOIN dist0 USING (uid) GROUP BY cid, year), r AS (SELECT cid, regr_count(dist, year) AS k, {REGR} FROM dist GROUP BY cid HAVING regr_count(dist, year) >= 3),
-        k AS (SELECT cid, regr_count(dist, year) AS k FROM dist GROUP BY cid), n AS (SELECT cid, count(*) AS n FROM near GROUP BY cid)
-        SELECT cid, round(coalesce(rate, 0.0), 4) + 0.0 AS rate, round(coalesce(se, 0.0), 4) + 0.0 AS se, coalesce(n, 0) AS n, {float(radius)}::DOUBLE AS radius_m, CASE WHEN coalesce(n, 0) < {radius} / 30 THEN 'insufficient points' ELSE 'good' END AS certainty
-        FROM ctr LEFT JOIN r USING (cid) LEFT JOIN n USING (cid) LEFT JOIN k USING (cid) WHERE k.k IS NULL OR k.k >= 3"""
+        dist AS (SELECT cid, year, CAST(round_even(median(dist), 2) AS DOUBLE) AS dist FROM near JOIN dist0 USING (uid) GROUP BY cid, year), r AS (SELECT cid, {REGR} FROM dist GROUP BY cid), n AS (SELECT cid, count(*) AS n FROM near GROUP BY cid)
+        SELECT cid, {cut_sql('rate', 4)} AS rate, {cut_sql('se', 4)} AS se, coalesce(n, 0) AS n, {float(radius)}::DOUBLE AS radius_m, CASE WHEN coalesce(n, 0) < {radius} / 30 THEN 'insufficient points' ELSE 'good' END AS certainty
+        FROM ctr LEFT JOIN r USING (cid) LEFT JOIN n USING (cid)"""
 
 
 def window_medians(spark: SparkSession, sf_dir: str) -> DataFrame:

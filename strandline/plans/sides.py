@@ -130,7 +130,7 @@ def names_and_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def local_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two clock readings of local days in UTC."""
-    o = table(spark, sf_dir, "orders").where("o_orderdate < '1996-01-01'")
+    o = table(spark, sf_dir, "orders")
     zone = F.when(F.col("o_custkey") % 2 == 0, "Pacific/Honolulu").otherwise("Pacific/Auckland")
     at = lambda c: F.date_format(dates.utc_of_local(F.col("o_orderdate"), c, zone), "yyyy-MM-dd HH:mm")
     return o.select("o_orderkey", at("10:30").alias("first"), at("11:30").alias("last"))
@@ -225,7 +225,7 @@ def _rollup_sql(source: str) -> str:
 
 def images_by_coast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Images with the first coastline of their year that they meet, and those without one."""
-    o = table(spark, sf_dir, "orders").where("o_orderdate < '1995-07-01'").select(F.col("o_orderkey").alias("catalog_id"), F.year("o_orderdate").alias("year"), (F.col("o_totalprice") / 1000).alias("minx"), (F.col("o_totalprice") / 1000 + 3).alias("maxx"), (F.col("o_custkey") % 100).cast("double").alias("miny"), (F.col("o_custkey") % 100 + 3).cast("double").alias("maxy"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("catalog_id"), F.year("o_orderdate").alias("year"), (F.col("o_totalprice") / 1000).alias("minx"), (F.col("o_totalprice") / 1000 + 3).alias("maxx"), (F.col("o_custkey") % 100).cast("double").alias("miny"), (F.col("o_custkey") % 100 + 3).cast("double").alias("maxy"))
     s = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 2 + 1995).cast("int").alias("cyear"), F.col("s_suppkey").alias("coast"), (F.col("s_acctbal") / 20).alias("minx"), (F.col("s_acctbal") / 20 + 4).alias("maxx"), (F.col("s_suppkey") * 7 % 100).cast("double").alias("miny"), (F.col("s_suppkey") * 7 % 100 + 4).cast("double").alias("maxy"))
     met = side.box_overlay(o, s, 10.0).where("year = cyear")
     first = spatial.first_of(met.select("catalog_id", "coast"), ["catalog_id"], ["coast"])
@@ -269,7 +269,7 @@ ORACLE_SQL = {
     "date_range": "SELECT strftime(d, '%Y-%m-%d') AS day FROM range(TIMESTAMP '1984-01-01', TIMESTAMP '2025-01-02', INTERVAL 16 DAY) t(d)",
     "names_and_paths": """SELECT p_partkey, p_brand AS version, (p_size + 1989) || '_' || (p_size + 1991) AS path, '+proj=utm +zone=' || p_size || CASE WHEN p_size % 2 = 0 THEN ' +south' ELSE '' END AS proj,
         CAST('326' || lpad(CAST(p_size AS VARCHAR), 2, '0') AS INT) AS epsg FROM part""",
-    "local_hours": """WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN 'Pacific/Honolulu' ELSE 'Pacific/Auckland' END AS zone, o_orderdate AS d FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01')
+    "local_hours": """WITH o AS (SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN 'Pacific/Honolulu' ELSE 'Pacific/Auckland' END AS zone, o_orderdate AS d FROM orders)
         SELECT o_orderkey, strftime(((d + INTERVAL 630 MINUTE) AT TIME ZONE zone) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M') AS first, strftime(((d + INTERVAL 690 MINUTE) AT TIME ZONE zone) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M') AS last FROM o""",
     "training_prep": """WITH t AS (SELECT p_partkey, p_type AS code, trim(unnest(string_split(CASE p_size % 5 WHEN 0 THEN '2020/2022' WHEN 1 THEN '2020/2022, 2021' WHEN 2 THEN ' 2019 ,2020,2021' ELSE '2018' END, ','))) AS time FROM part WHERE p_type <> 'STANDARD'),
         c AS (SELECT p_type AS code, min(p_size) AS intcode FROM part WHERE p_type <> 'PROMO' GROUP BY 1) SELECT p_partkey, t.code, time, coalesce(intcode, -1) AS intcode FROM t LEFT JOIN c ON c.code = t.code""",
@@ -286,7 +286,7 @@ ORACLE_SQL = {
     "validation_summary": f"WITH {ROC}, e AS (SELECT *, abs(cl_rate - val_rate) AS e FROM roc) {_summary_sql('all', 'true')} UNION ALL {_summary_sql('significant', 'cl_sig_time < 0.01')}",
     "validation_rollup": _rollup_sql("s"),
     "validation_unbiased": _rollup_sql("u"),
-    "images_by_coast": """WITH o AS (SELECT o_orderkey AS catalog_id, CAST(year(o_orderdate) AS INT) AS year, o_totalprice / 1000 AS x, CAST(o_custkey % 100 AS DOUBLE) AS y FROM orders WHERE o_orderdate < TIMESTAMP '1995-07-01'),
+    "images_by_coast": """WITH o AS (SELECT o_orderkey AS catalog_id, CAST(year(o_orderdate) AS INT) AS year, o_totalprice / 1000 AS x, CAST(o_custkey % 100 AS DOUBLE) AS y FROM orders),
         s AS (SELECT s_suppkey % 2 + 1995 AS year, s_suppkey AS coast, s_acctbal / 20 AS x, CAST(s_suppkey * 7 % 100 AS DOUBLE) AS y FROM supplier)
         SELECT catalog_id, o.year, coalesce(min(coast), -1) AS coast FROM o LEFT JOIN s ON s.year = o.year AND o.x < s.x + 4 AND s.x < o.x + 3 AND o.y < s.y + 4 AND s.y < o.y + 3 GROUP BY catalog_id, o.year""",
     "lat_lon_box": "SELECT c_custkey, round(c_acctbal / 100 - 20, 6) + 0.0 AS lat, c_custkey % 360 AS lon FROM customer WHERE c_acctbal / 100 - 20 > -28 AND c_acctbal / 100 - 20 < 24 AND c_custkey % 360 > 130 AND c_custkey % 360 < 236",

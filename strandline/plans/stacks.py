@@ -245,8 +245,8 @@ def inland_water(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _nr = lambda a, b: f"({a} - {b}) / nullif({a} + {b}, 0)"
-CONSENSUS = f"""{ANNUAL}, land_of AS (SELECT x, y, coalesce(median(t) < 0, false) AND coalesce(median(m) < 0, false) AND coalesce(median(n) < 0, false) AS land FROM (
-    SELECT x, y, 0.5 * {_nr('green', 'swir16')} + 0.5 * {_nr('(CASE WHEN nir08 >= 0.128 AND green < 0.128 THEN green ELSE 0.128 END)', 'nir08')} AS t, {_nr('green', 'swir16')} AS m, {_nr('green', 'nir08')} AS n FROM annual) GROUP BY x, y)"""
+CONSENSUS = f"""{ANNUAL}, land_of AS (SELECT x, y, coalesce(median(n) < 0, false) AND coalesce(median(m) < 0, false) AND coalesce(median(r) < 0, false) AS land FROM (
+    SELECT x, y, {_nr('green', 'nir08')} AS n, {_nr('green', 'swir16')} AS m, {_nr('0.128', 'nir08')} AS r FROM annual) GROUP BY x, y)"""
 INLAND = f"""WITH RECURSIVE {CONSENSUS}, g AS (SELECT year, x, y, CASE WHEN (x * 3 + y * 5 + year) % 13 <> 0 THEN round(twndwi, 6) END AS v FROM annual),
     w AS (SELECT year, x, y FROM g JOIN land_of USING (x, y) WHERE v >= 0 OR (v IS NULL AND NOT land)),
     o AS (SELECT year, x, y FROM g JOIN land_of USING (x, y) WHERE NOT land),

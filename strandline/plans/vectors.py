@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandline.functions import geometry as g
 from strandline.functions.stats import significance
 from strandline.operators import contours, movement, spatial
-from strandline.plans.cube import ANNUAL, INDEX, annual, rounded
+from strandline.plans.cube import ANNUAL, INDEX, annual, cut, cut_sql, rounded
 from strandline.plans.stacks import grid
 from strandline.sources.tables import table
 
@@ -88,18 +88,20 @@ MEASURES = f"""WITH {SEGMENTS}, m AS (SELECT line, sum(len) AS length, sum((ax +
 
 
 def annual_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signed distances from points to the nearest yearly contour point within a cap."""
+    """Signed distances from points to the nearest place on a yearly contour within a cap."""
     s = table(spark, sf_dir, "supplier")
     points = s.select(F.col("s_suppkey").alias("uid"), (F.col("s_acctbal") / 10).alias("x"), ((F.col("s_suppkey") * 37) % 500).cast("double").alias("y"))
-    o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), (F.col("o_totalprice") / 500).alias("x"), (F.col("o_custkey") % 500).cast("double").alias("y"))
+    x, y = F.col("o_totalprice") / 500, (F.col("o_custkey") % 500).cast("double")
+    o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), x.alias("ax"), y.alias("ay"), (x + 12).alias("bx"), (y - 5).alias("by"))
     years = o.select("year").distinct()
     sign = points.select("uid").crossJoin(years).withColumn("wet", (F.col("uid") + F.col("year")) % 3 != 0)
-    return rounded(movement.annual_movements(points, o, most=40.0, sign=sign), "dist")
+    return rounded(movement.annual_movements(points, o, most=40.0, sign=sign).select("uid", "year", "dist"), "dist")
 
 
 MOVEMENT = """WITH p AS (SELECT s_suppkey AS uid, s_acctbal / 10 AS x, CAST((s_suppkey * 37) % 500 AS DOUBLE) AS y FROM supplier),
     c AS (SELECT CAST(year(o_orderdate) AS INT) AS year, o_totalprice / 500 AS x, CAST(o_custkey % 500 AS DOUBLE) AS y FROM orders),
-    d AS (SELECT uid, year, min(sqrt((p.x - c.x) * (p.x - c.x) + (p.y - c.y) * (p.y - c.y))) AS d FROM p, c GROUP BY uid, year)
+    t AS (SELECT uid, year, p.x AS px, p.y AS py, c.x AS ax, c.y AS ay, greatest(0.0, least(1.0, ((p.x - c.x) * 12 + (p.y - c.y) * -5) / 169.0)) AS t FROM p, c),
+    d AS (SELECT uid, year, min(sqrt(pow(ax + t * 12 - px, 2) + pow(ay - t * 5 - py, 2))) AS d FROM t GROUP BY uid, year)
     SELECT uid, year, round(CASE WHEN (uid + year) % 3 <> 0 THEN d ELSE -d END, 6) + 0.0 AS dist FROM d WHERE d <= 40"""
 
 
@@ -118,10 +120,10 @@ def baseline_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def roc_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = movement.regressions(distances(spark, sf_dir), with_p=False)
-    return rounded(rounded(r.where("n_reg >= 3"), "rate", "se", places=4), "incpt", places=2)
+    return cut(cut(r, "rate", "se", places=4), "incpt", places=2)
 
 
-REGR = "regr_slope(dist, year) AS rate, regr_intercept(dist, year) AS incpt, sqrt(greatest(regr_syy(dist, year) - regr_slope(dist, year) * regr_sxy(dist, year), 0) / (regr_count(dist, year) - 2) / regr_sxx(dist, year)) AS se, CAST(regr_count(dist, year) AS BIGINT) AS n_reg"
+REGR = "regr_slope(dist, year) AS rate, regr_intercept(dist, year) AS incpt, sqrt(greatest(regr_syy(dist, year) - regr_slope(dist, year) * regr_sxy(dist, year), 0) / nullif(greatest(CAST(regr_count(dist, year) AS BIGINT) - 2, 0), 0) / nullif(regr_sxx(dist, year), 0)) AS se, CAST(regr_count(dist, year) AS BIGINT) AS n_reg"
 
 
 def robust_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +143,14 @@ ROBUST = f"""WITH {DISTANCES}, d AS (SELECT * FROM dist WHERE uid IN (SELECT uid
 
 def t_pvalue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trends with their significance."""
-    return rounded(movement.regressions(distances(spark, sf_dir)).where("n_reg >= 3").select("uid", "sig"), "sig")
+    return cut(movement.regressions(distances(spark, sf_dir)).select("uid", "sig"), "sig")
+
+
+PVALUE = f"""WITH {DISTANCES}, r AS (SELECT uid, {REGR} FROM dist GROUP BY uid), a AS (SELECT *, n_reg - 2 AS df, atan(abs(rate / nullif(se, 0)) / sqrt(greatest(n_reg - 2, 1))) AS t FROM r),
+    p AS (SELECT uid, CASE WHEN df < 1 OR se IS NULL THEN NULL WHEN se = 0 THEN CASE WHEN rate = 0 THEN 1.0 ELSE 0.0 END WHEN df = 1 THEN 1 - 2 * t / pi() WHEN df = 2 THEN 1 - sin(t)
+        WHEN df = 3 THEN 1 - 2 / pi() * (t + sin(t) * cos(t)) WHEN df = 4 THEN 1 - sin(t) * (1 + pow(cos(t), 2) / 2) WHEN df = 5 THEN 1 - 2 / pi() * (t + sin(t) * (cos(t) + 2.0 / 3 * pow(cos(t), 3)))
+        WHEN df = 6 THEN 1 - sin(t) * (1 + pow(cos(t), 2) / 2 + 3.0 / 8 * pow(cos(t), 4)) END AS sig FROM a)
+    SELECT uid, {cut_sql('CASE WHEN sig < 0 THEN 0.0 ELSE sig END')} AS sig FROM p"""
 
 
 def all_time_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,8 +273,9 @@ ORACLE_SQL = {
     "line_measures": MEASURES,
     "annual_movement": MOVEMENT,
     "baseline_distances": f"WITH {DISTANCES} SELECT d.uid, d.year, round(d.dist - b.dist, 6) + 0.0 AS dist FROM dist d JOIN dist b ON b.uid = d.uid AND b.year = 2000",
-    "roc_regression": f"WITH {DISTANCES}, r AS (SELECT uid, {REGR} FROM dist GROUP BY uid HAVING regr_count(dist, year) >= 3) SELECT uid, n_reg, round(rate, 4) + 0.0 AS rate, round(incpt, 2) + 0.0 AS incpt, round(se, 4) + 0.0 AS se FROM r",
+    "roc_regression": f"WITH {DISTANCES}, r AS (SELECT uid, {REGR} FROM dist GROUP BY uid) SELECT uid, n_reg, {cut_sql('rate', 4)} AS rate, {cut_sql('incpt', 2)} AS incpt, {cut_sql('se', 4)} AS se FROM r",
     "robust_regression": ROBUST,
+    "t_pvalue": PVALUE,
     "all_time_stats": f"WITH {STATS} SELECT * FROM st",
     "angle_spread": f"SELECT o_custkey AS uid, round(degrees(sqrt(-2 * ln(least({_R}, 1.0)))), 4) + 0.0 AS angle_std FROM orders GROUP BY o_custkey",
     "roc_certainty": CERTAINTY,

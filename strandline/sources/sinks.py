@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,21 +13,25 @@ from strandline.operators.stack import years_as_columns
 #: Declared schemas of the layers.
 SHORELINES = "year int, certainty string, eez_territory varchar(3)"
 RATES = "uid string, rate_time double, incpt_time double, sig_time double, se_time double, outl_time varchar(130), angle_std double, valid_obs int, valid_span int, sce double, nsm double, max_year int, min_year int, certainty string, eez_territory varchar(3)"
+#: Columns of a tile that one file holds.
+STRIP = 2048
 LOG_COLUMNS = ["time", "index", "status", "paths", "comment"]
 
 
 def write_mosaic(mosaic: DataFrame, root: str, overwrite: bool = False) -> None:
-    """Composites by period length, year and tile, a file each. Partitions that exist stay as they are unless overwritten."""
+    """Composites by period length, year and tile, a file for each strip of a tile. Partitions that exist stay as they are unless overwritten."""
     parts = ["period_len", "year", "tile_id"]
     if not overwrite:
         try:
             there = mosaic.sparkSession.read.option("basePath", root).parquet(root).select(*parts).distinct()
             mosaic = mosaic.join(there, parts, "left_anti")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
     mode = "overwrite" if overwrite else "append"
-    mosaic.repartition(*parts).write.option("partitionOverwriteMode", "dynamic").partitionBy(*parts).mode(mode).parquet(root)
+    # a tile's rows go to a task a strip of columns, so a large tile is written by several
+    strips = [F.expr(f"cast(x as long) div {STRIP}")] if "x" in mosaic.columns else []
+    mosaic.repartition(*parts, *strips).write.option("partitionOverwriteMode", "dynamic").partitionBy(*parts).mode(mode).parquet(root)
 
 
 def conforming(df: DataFrame, schema: str) -> DataFrame:
@@ -91,6 +96,22 @@ def tile_layer(points: DataFrame, attributes: list[str]) -> DataFrame:
     return points.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*attributes).alias("properties"), geometry.alias("geometry"))).alias("value"))
 
 
+def line_layer(lines: DataFrame, attributes: list[str]) -> DataFrame:
+    """GeoJSON features of lines, as tile_layer makes them of points."""
+    place = lambda p: F.array(g.shifted_longitude(g.to_longitude(p.x)), g.to_latitude(p.y))
+    geometry = F.struct(F.lit("LineString").alias("type"), F.transform("vertices", place).alias("coordinates"))
+    return lines.select(F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*attributes).alias("properties"), geometry.alias("geometry"))).alias("value"))
+
+
+def write_tiles(points: DataFrame, lines: DataFrame, hotspots: list[DataFrame], root: str) -> None:
+    """Every layer's features as lines of JSON, in a folder a layer, for a tiler."""
+    services = [f"wms_{x}" for x in ("abs", "conf", "grew", "retr", "sig", "good")]
+    tile_layer(points, ["uid", "certainty", *services]).write.mode("overwrite").text(f"{root}/rates_of_change")
+    line_layer(lines, ["year", "certainty"]).write.mode("overwrite").text(f"{root}/shorelines_annual")
+    for i, spots in enumerate(hotspots, 1):
+        tile_layer(spots, ["cid", "n", "certainty", *services]).write.mode("overwrite").text(f"{root}/hotspots_zoom_{i}")
+
+
 def write_if_any(df: DataFrame, flag: str, path: str) -> bool:
     """Writes only if the flag is true anywhere; stops looking at the first row."""
     if df.where(F.col(flag)).limit(1).isEmpty():
