@@ -22,7 +22,21 @@ MODEL = os.environ.get("STRANDLINE_SENTENCEPIECE", "/opt/tokenizers/piece_bpe_32
 KEY = os.environ.get("STRANDLINE_PII_KEY", "not a secret").encode()
 
 
+#: Rows that go to a Python worker at once in the registered queries and the pipeline. Spark's 10,000 suit narrow rows; texts are
+#: long, and each batch stands in memory on both sides.
+BATCH_ROWS = 1000
+
+
+def for_texts(spark: SparkSession) -> None:
+    """Makes a session's Arrow batches small enough for texts, unless it has a number of its own. For those who own the session
+    (the registered queries, the pipeline); operators leave it as it is."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    for_texts(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

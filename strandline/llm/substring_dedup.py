@@ -38,7 +38,7 @@ REACH = PLACES + CORE
 #: Words of a block in which a kept text goes to the texts that are compared with it.
 BLOCK = 64
 #: Paragraphs of one band that a task compares at once; see split_hot.
-GROUP = 1000
+GROUP = 250
 #: A place is the word's number, under 32 bits that tell texts apart whose rows share a doc_id.
 VARIANT = 0x3FFFFFFF
 
