@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import decontaminate, language_id, line_dedup, sentencepieces, simhash, substring_dedup
-from strandline.llm.common import MODEL, documents, written
+from strandline.llm.common import MODEL, documents, for_texts, written
 
 #: The stages up to the last return these columns; n_chars is that of the text as it then is.
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -14,6 +14,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; null texts, texts without a letter and rejected ones go."""
+    for_texts(spark)
     return language_id.accepted(docs.select(*COLUMNS))
 
 
@@ -29,17 +30,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Near duplicates have SimHash codes within 4 bits, or five-word shingles of Jaccard similarity 0.8 or more: most copies of
     that similarity are more than 4 bits apart.
     """
+    for_texts(spark)
     docs = docs.select(*COLUMNS)
     return simhash.deduplicated(docs, links=substring_dedup.near_copies(docs))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not hold a benchmark item."""
+    for_texts(spark)
     return decontaminate.decontaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, round_trip) of every document."""
+    for_texts(spark)
     return sentencepieces.round_trips(docs, sentencepieces.read_model(MODEL))
 
 
