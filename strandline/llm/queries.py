@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from strandline.llm import decontaminate, fingerprint, language_id, license_scan, line_dedup, pii, sentencepieces, sharding, simhash, substring_dedup
 from strandline.llm.common import KEY, MODEL, documents
 
@@ -65,7 +64,6 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash": op9_simhash,
     "op10_pseudonyms": op10_pseudonyms,
-    "pipeline": corpus_pipeline.run,
 }
 
 #: Jump consistent hashing for 8 and 9 shards as a recursion (64-bit steps in HUGEINT), and CRC-32 by its table.

@@ -344,7 +344,9 @@ def shared_runs(cores: DataFrame, copies: DataFrame) -> DataFrame:
     new = hits.withColumn("_new", F.expr(f"coalesce(place - lag(place) over {by} > {2 * REACH}, true)").cast("int"))
     runs = new.withColumn("_run", F.expr(f"sum(_new) over {by}")).groupBy("doc_id", "keeper", "shift", "_run").agg(F.min("place").alias("a"), F.max("place").alias("b"))
     base = F.shiftleft(F.shiftright("a", 32), 32)
-    return written(runs.select(F.monotonically_increasing_id().alias("run"), "doc_id", "keeper", "shift", F.greatest(F.col("a") - REACH, base).alias("lo"), (F.col("b") + CORE + REACH).alias("hi")), "runs", few(cores.sparkSession))
+    made = written(runs.select(F.monotonically_increasing_id().alias("run"), "doc_id", "keeper", "shift", F.greatest(F.col("a") - REACH, base).alias("lo"), (F.col("b") + CORE + REACH).alias("hi")), "runs", few(cores.sparkSession))
+    dropped(first)
+    return made
 
 
 PIECES = "kind int, doc_id long, at long, n long, words binary"
@@ -506,6 +508,9 @@ def repeats(docs: DataFrame) -> DataFrame:
     more = more.select("doc_id", "start", "n", F.struct("root.doc_id", F.col("root.start").bitwiseAND(F.lit(0xFFFFFFFF)).alias("start")).alias("root"))
     spans = written(hits.unionByName(more), "spans")
     classes = components(spans.select(F.col("doc_id").alias("a"), F.col("root.doc_id").alias("b"))).select(F.col("node").alias("_node"), F.col("root").alias("_class"))
+    classes = written(classes, "components", few(spark))
+    for used in (held, texts, runs, met, parts, reps):
+        dropped(used)
     one = F.struct(F.col("start").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("first"), (F.col("start").bitwiseAND(F.lit(0xFFFFFFFF)) + F.col("n")).cast("int").alias("end"), F.col("root.doc_id").alias("keeper"), F.col("root.start").cast("int").alias("keeper_first"))
     per_doc = spans.groupBy(F.col("doc_id").alias("_id"), F.shiftright("start", 32).alias("_v")).agg(F.array_sort(F.collect_set(one)).alias("spans"))
     joined = base.join(per_doc, (F.col("doc_id") == F.col("_id")) & (F.col("variant") == F.col("_v")), "left")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import struct
 import zlib
 from collections import Counter
 
@@ -219,6 +220,48 @@ def test_fingerprints(spark, texts):
     assert rows[3].fingerprint == rows[len(texts) - 4].fingerprint and len(rows[3].fingerprint) == 256 and rows[60].fingerprint == ""
 
 
+def plain_fingerprint(text):
+    """The fingerprint step by step: shingle hashes, least of each bin, donors for empty bins, four bits a bin."""
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    more = lambda seed, value, kind: xxhash.xxh64_intdigest(struct.pack(kind, value), seed)
+    words = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in re.split(r"[\x20\x09-\x0D]+", text.lower()) if w]
+    if not words:
+        return ""
+    least = [None] * 256
+    for i in range(max(1, len(words) - 4)):
+        h = 42
+        for w in words[i : i + 5]:
+            h = more(h, w, "<q")
+        h = signed(h)
+        b = (h >> 56) + 128
+        if h != ((b - 127) << 56) - 1:
+            least[b] = h if least[b] is None else min(least[b], h)
+    draw = random.Random(7)
+    donors = [[draw.randrange(256) for _ in range(256)] for _ in range(fingerprint.TRIES)]
+    full = []
+    for b in range(256):
+        own = [least[b], *(least[d[b]] for d in donors)]
+        got = next((x for x in own if x is not None), None)
+        if got is None:
+            got = min((signed(more(more(42, b, "<i"), j, "<i")), x) for j, x in enumerate(least) if x is not None)[1]
+        full.append(got)
+    return "".join(f"{more(more(42, x, '<q'), b, '<i') & 15:x}" for b, x in enumerate(full))
+
+
+def test_fingerprints_are_those_of_the_plain_version(spark, texts):
+    r = random.Random(10)
+    more = [*texts, *[" ".join(f"w{r.randrange(500)}" for _ in range(n)) for n in (1, 2, 4, 5, 6, 7, 9, 30, 300, 3000)], "É Ü\tß"]
+    got = {x.doc_id: x for x in fingerprint.fingerprint_with_edits(docs(spark, more)).collect()}
+    for i, t in enumerate(more):
+        t = t or ""
+        nxt = more[i - 1] or ""
+        assert got[i].fingerprint == plain_fingerprint(t), i
+        assert got[i].edited_fingerprint == plain_fingerprint(t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]), i
+        a, b = got[i].fingerprint, plain_fingerprint(nxt)
+        same = sum(x == y for x, y in zip(a, b, strict=False)) / 256
+        assert got[i].near_next == pytest.approx(1.0 if a == b == "" else 0.0 if not (a and b) else max(0.0, (same - 1 / 16) / (15 / 16)))
+
+
 def test_likeness_is_unbiased(spark):
     r = random.Random(9)
     base = [f"w{r.random()}" for _ in range(1500)]

@@ -114,9 +114,9 @@ def test_near_duplicates_of_similarity_0_8_go(spark, tmp_path):
 
 
 @pytest.mark.skipif(not SF.exists(), reason="no test tables")
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted([*queries.QUERIES, "pipeline"]))
 def test_registered_queries(spark, name):
-    df = queries.QUERIES[name](spark, str(SF))
+    df = {**queries.QUERIES, "pipeline": corpus_pipeline.run}[name](spark, str(SF))
     assert "doc_id" in df.columns and df.count() >= 0
 
 
