@@ -148,8 +148,8 @@ SOME = 500
 def joined_to_one(rows: DataFrame, ones: DataFrame, keys: list[str], count: str, spread: str) -> DataFrame:
     """rows left-joined to ``ones``, which has one row a key and says in ``count`` how many rows at least have the key.
 
-    Hot keys are joined from a broadcast of fewer than HOT rows, and their rows are dealt by ``spread`` in place of the key
-    for the shuffled join of the rest; so no task gets all rows of a key. Where no key has many rows (SOME) it is a plain
+    Hot keys are joined from a broadcast of fewer than HOT rows, and their rows are dealt by ``spread`` as well as by the key
+    in the shuffled join of the rest; so no task gets all rows of a key. Where no key has many rows (SOME) it is a plain
     join. ``ones`` is read more than once: give a written table.
     """
     total, most = ones.agg(F.coalesce(F.sum(count), F.lit(0)), F.coalesce(F.max(count), F.lit(0))).first()
@@ -160,11 +160,12 @@ def joined_to_one(rows: DataFrame, ones: DataFrame, keys: list[str], count: str,
     hot = ones.where(F.col(count) > least).select(*keys, F.struct(*values).alias("_hot"))
     known = rows.join(F.broadcast(hot), keys, "left")
     other = ones.where(F.col(count) <= least).select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(*values).alias("_cold"))
-    dealt = F.when(F.col("_hot").isNull(), F.col(keys[0])).otherwise(F.xxhash64(spread))
-    same = F.col("_hot").isNull() & (F.col("_deal") == F.col(f"_{keys[0]}"))
-    for k in keys[1:]:
+    # 0 for the rest, so that its rows meet by their keys; rows that are joined already lie anywhere
+    dealt = F.when(F.col("_hot").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(spread))
+    same = F.col("_hot").isNull() & (F.col("_deal") == F.col("_zero"))
+    for k in keys:
         same &= F.col(k) == F.col(f"_{k}")
-    met = known.withColumn("_deal", dealt).join(other, same, "left")
+    met = known.withColumn("_deal", dealt).join(other.withColumn("_zero", F.lit(0).cast("long")), same, "left")
     found = F.coalesce("_hot", "_cold")
     return met.select(*rows.columns, *[found[v].alias(v) for v in values])
 

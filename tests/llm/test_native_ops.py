@@ -187,6 +187,8 @@ def test_components(spark, monkeypatch, some):
     got = {x.node: x.root for x in components(spark.createDataFrame(hub, "a long, b long")).collect()}
     assert got == {n: 4000 for n in {x for e in hub for x in e} - {4000}}
     assert components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
+    structs = spark.createDataFrame(hub, "a long, b long").select(F.struct(F.col("a").alias("doc_id"), F.lit(3).alias("start")).alias("a"), F.struct(F.col("b").alias("doc_id"), F.lit(3).alias("start")).alias("b"))
+    assert {x.node.doc_id: x.root.doc_id for x in components(structs).collect()} == {n: 4000 for n in {x for e in hub for x in e} - {4000}}
     for _ in range(3):
         pairs = [(r.randrange(80), r.randrange(80)) for _ in range(60)]
         root = list(range(80))

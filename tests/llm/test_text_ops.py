@@ -397,7 +397,9 @@ def test_nothing_to_learn_from(spark):
 WORDS = [f"{a}{b}{c}" for a in "abcdef" for b in POOL for c in "xyz"]
 
 
-def test_repeats(spark):
+@pytest.mark.parametrize("some", [500, 1])
+def test_repeats(spark, monkeypatch, some):
+    monkeypatch.setattr(common, "SOME", some)
     r = random.Random(9)
     passage, para = prose(r, 55, WORDS), prose(r, 60, WORDS)
     words = para.split()
@@ -479,6 +481,8 @@ def test_rows_that_share_an_id(spark):
 @pytest.mark.parametrize("most", [1000, 3])
 def test_near_copies_are_what_all_pairs_give(spark, monkeypatch, most):
     monkeypatch.setattr(substring_dedup, "GROUP", most)
+    monkeypatch.setattr(common, "SOME", most)
+    monkeypatch.setattr(common, "HOT", 10)
     r = random.Random(25)
     texts = []
     for _ in range(6):
