@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.functions import geometry as g
+from strandline.functions.stats import regression
 from strandline.operators.mosaic import middle
-from strandline.operators.movement import regressions
 from strandline.operators.spatial import within
+from strandline.operators.windows import in_windows, placed
 
 #: North of this (EPSG 3832 metres) nothing of the Pacific layers is kept. A fixed value.
 NORTH = 2_125_000
@@ -26,17 +27,24 @@ def hotspots(centres: DataFrame, points: DataFrame, dist: DataFrame, radius: flo
     certainty; and those medians (cid, year, dist), rounded half to even to two places, as the trend uses them.
 
     ``points`` has (uid, x, y, certainty), ``dist`` (uid, year, dist) stays long: wide years are made only at sinks. A point
-    carries its years as one array through the one spatial join; counts and medians are read from the same pairs. A window
-    holds the points within its radius, a few thousand at 30 m spacing.
+    carries its years as one array to the tiles it can be near to, where windows.in_windows counts and takes medians: no row is
+    made for a pair. Rows of one cid at several places are one window, with a point as often as places are near to it; only
+    these are joined pair by pair.
     """
-    good = points.where("certainty = 'good'").select(uid, "x", "y")
+    good = placed(points.where("certainty = 'good'").select(uid, "x", "y"))
     years = dist.where("dist is not null").groupBy(uid).agg(F.collect_list(F.struct("year", "dist")).alias("_years"))
-    pairs = within(centres, good.join(years, uid, "left").select("x", "y", "_years"), radius, ["cid"]).select("cid", "_years")
-    in_window = pairs.groupBy("cid").agg(F.count("*").alias("n"), F.flatten(F.collect_list("_years")).alias("_all"))
-    counts = in_window.select("cid", "n")
-    by_year = in_window.select("cid", F.explode("_all").alias("_y")).groupBy("cid", "_y.year").agg(F.sort_array(F.collect_list("_y.dist")).alias("_d"))
-    medians = by_year.select("cid", "year", F.bround(middle(F.col("_d")), 2).alias("dist"))
-    stats = centres.select("cid", "x", "y").join(regressions(medians, "cid", with_p=False), "cid", "left").join(counts, "cid", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    dated = good.join(years, uid, "left").select("x", "y", "_years")
+    c = centres.select("cid", "x", "y", F.count("*").over(Window.partitionBy("cid")).alias("_places"))
+    pairs = within(c.where("_places > 1"), dated, radius, ["cid"]).select("cid", "_years")
+    several = pairs.groupBy("cid").agg(F.count("*").alias("n"), F.flatten(F.collect_list("_years")).alias("_all"))
+    of_year = lambda y: F.array_sort(F.transform(F.filter("_all", lambda e: e.year.eqNullSafe(y)), lambda e: e.dist))
+    several = several.select("cid", "n", F.transform(F.array_distinct(F.transform("_all", lambda e: e.year)), lambda y: F.struct(y.alias("year"), middle(of_year(y)).alias("dist"))).alias("_years"))
+    found = in_windows(c.where("_places = 1").drop("_places"), dated, radius).unionByName(several)
+    by_year = found.select("cid", "n", F.explode_outer("_years").alias("_y")).select("cid", "n", F.col("_y").isNotNull().alias("_some"), F.col("_y.year").alias("year"), F.bround("_y.dist", 2).alias("dist"))
+    medians = by_year.where("_some").select("cid", "year", "dist")
+    *trend, n_reg = regression("dist", "year")
+    trends = by_year.groupBy("cid").agg(*trend, F.when(F.max("_some"), n_reg).alias("n_reg"), F.max("n").alias("n"))
+    stats = centres.select("cid", "x", "y").join(trends, "cid", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     enough = F.when(F.col("n") < radius / 30, "insufficient points").otherwise("good")
     return stats.withColumns({"radius_m": F.lit(radius), "certainty": enough}), medians
 
