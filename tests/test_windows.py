@@ -60,3 +60,23 @@ def test_large_windows_make_no_row_for_a_pair(spark):
     assert mb < 2  # 100,000 pairs of five years each are 4 MB and more
     fits = {c: statistics.linear_regression([y for k, y in medians if k == c], [round(d, 2) for (k, y), d in medians.items() if k == c]) for c, _, _ in centres}
     assert all(r.rate == pytest.approx(fits[r.cid].slope, abs=0.01) for r in stats)
+
+
+def test_small_windows_over_many_tiles(spark):
+    """Clusters on both sides of tiles' borders and of zero, places on a circle (not in it), equal places, equal values."""
+    r = random.Random(5)
+    spots = [(40.0 * i, 40.0 * j) for i in range(-3, 4) for j in range(-2, 3)]
+    centres = [(i, x + r.choice([0.0, r.uniform(-9, 9)]), y + r.choice([0.0, r.uniform(-9, 9)])) for i, (x, y) in enumerate(spots * 6)]
+    around = [(x + r.uniform(-25, 25), y + r.uniform(-25, 25)) for x, y in spots for _ in range(60)]
+    exact = [(x + dx, y + dy) for x, y in spots for dx, dy in ((10, 0), (-10, 0), (0, 10), (6, 8), (-8, 6), (0, 0), (0, 0))]
+    points = [(x, y, {y_: float(r.choice([r.randrange(4), r.uniform(-50, 50)])) for y_ in range(2000, 2000 + r.randrange(9))}) for x, y in around + exact]
+    stats, mb = shuffled(spark, continental.hotspots(*frames(spark, centres, points), 10.0)[0])
+    n, medians = by_pairs(centres, points, 10.0)
+    assert {k.cid: k.n for k in stats} == {c: n.get(c, 0) for c, _, _ in centres}
+    same(continental.hotspots(*frames(spark, centres, points), 10.0)[1].collect(), medians)
+    # many centres in one place: their pairs are not shuffled either
+    crowd = [(i, r.uniform(-5, 5), r.uniform(-5, 5)) for i in range(300)]
+    points = [(r.uniform(-9, 9), r.uniform(-9, 9), {y: r.uniform(-50, 50) for y in range(2000, 2006)}) for _ in range(600)]
+    stats, mb = shuffled(spark, continental.hotspots(*frames(spark, crowd, points), 10.0)[0])
+    assert {k.cid: k.n for k in stats} == by_pairs(crowd, points, 10.0)[0]
+    assert mb < 2
