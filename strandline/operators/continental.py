@@ -34,7 +34,7 @@ def hotspots(centres: DataFrame, points: DataFrame, dist: DataFrame, radius: flo
     good = placed(points.where("certainty = 'good'").select(uid, "x", "y"))
     years = dist.where("dist is not null").groupBy(uid).agg(F.collect_list(F.struct("year", "dist")).alias("_years"))
     dated = good.join(years, uid, "left").select("x", "y", "_years")
-    c = centres.select("cid", "x", "y", F.count("*").over(Window.partitionBy("cid")).alias("_places"))
+    c = placed(centres).select("cid", "x", "y", F.count("*").over(Window.partitionBy("cid")).alias("_places"))
     pairs = within(c.where("_places > 1"), dated, radius, ["cid"]).select("cid", "_years")
     several = pairs.groupBy("cid").agg(F.count("*").alias("n"), F.flatten(F.collect_list("_years")).alias("_all"))
     of_year = lambda y: F.array_sort(F.transform(F.filter("_all", lambda e: e.year.eqNullSafe(y)), lambda e: e.dist))

@@ -80,3 +80,32 @@ def test_small_windows_over_many_tiles(spark):
     stats, mb = shuffled(spark, continental.hotspots(*frames(spark, crowd, points), 10.0)[0])
     assert {k.cid: k.n for k in stats} == by_pairs(crowd, points, 10.0)[0]
     assert mb < 2
+
+
+def test_window_medians_of_odd_rows(spark):
+    """A cid at several places is one window, a missing year is a year, points without years count, a place must be finite."""
+    inf, nan = float("inf"), float("nan")
+    c = spark.createDataFrame([(1, 0.0, 0.0), (2, 500.0, 500.0), (3, 0.0, 1.0), (3, 0.0, 1.0), (3, 100.0, 0.0), (4, None, 0.0), (5, nan, 0.0), (6, inf, 0.0), (6, inf, 0.0), (None, 0.0, 2.0), (7, 300.0, 0.0)], "cid long, x double, y double")
+    places = [("a", 0.0, 0.0), ("b", 1.0, 0.0), ("b", 1.0, 0.0), ("c", 100.0, 1.0), ("d", None, 0.0), ("e", nan, 0.0), ("f", inf, 0.0), ("g", 2.0, 0.0), ("h", 3.0, 0.0), ("i", 300.0, 1.0)]
+    p = spark.createDataFrame(places, "uid string, x double, y double").withColumn("certainty", F.when(F.col("uid") == "h", "extreme value (> 200 m)").otherwise("good"))
+    rows = [("a", 2000, 1.0), ("a", None, 4.0), ("b", 2000, 2.0), ("c", 2000, 9.0), ("c", 2001, 0.125), ("g", 2001, None), ("d", 2000, 99.0), ("e", 2000, 99.0), ("f", 2000, 99.0), ("h", 2000, 99.0)]
+    stats, medians = continental.hotspots(c, p, spark.createDataFrame(rows, "uid string, year int, dist double"), 10.0)
+    got = sorted(((r.cid, r.year, r.dist) for r in medians.collect()), key=str)
+    # cid 3 meets a, b, b and g twice, and c once: 1, 2, 2, 1, 2, 2, 9
+    assert got == sorted([(1, 2000, 2.0), (1, None, 4.0), (3, 2000, 2.0), (3, 2001, 0.12), (3, None, 4.0), (None, 2000, 2.0), (None, None, 4.0)], key=str)
+    rows = [(r.cid, r.n, r.n_reg) for r in stats.collect()]
+    assert sorted(rows, key=str) == sorted([(1, 4, 1), (2, 0, None), *[(3, 9, 2)] * 3, (4, 0, None), (5, 0, None), (6, 0, None), (6, 0, None), (None, 0, None), (7, 1, None)], key=str)
+
+
+def test_window_medians_shuffle_no_pairs(spark):
+    r = random.Random(9)
+    centres = [(i, r.uniform(0, 100), r.uniform(0, 100)) for i in range(150)]
+    points = [(r.uniform(0, 100), r.uniform(0, 100), {y: r.uniform(-50, 50) for y in range(2000, 2006)}) for _ in range(1200)]
+    medians, mb = shuffled(spark, continental.hotspots(*frames(spark, centres, points), 50.0)[1])
+    same(medians, by_pairs(centres, points, 50.0)[1])
+    assert mb < 2
+    # without any centre or point
+    c, p, d = frames(spark, centres, points)
+    assert continental.hotspots(c.where("false"), p, d, 50.0)[1].count() == 0
+    assert continental.hotspots(c, p.where("false"), d, 50.0)[1].count() == 0
+    assert continental.hotspots(c, p, d.where("false"), 50.0)[1].count() == 0
