@@ -53,11 +53,16 @@ def signature(hashes: Column) -> Column:
         filled = F.transform(least, lambda x, i: F.when(~empty(x, i), x))
 
         def fill(v: Column) -> Column:
-            def last_way(i: Column) -> Column:
-                ranked = F.transform(F.filter(F.transform(v, lambda x, j: F.struct(F.xxhash64(i, j).alias("r"), x.alias("x"))), lambda s: s.x.isNotNull()), lambda s: s)
-                return F.array_min(ranked).x
+            # only the filled bins, once a text: where the donors fail they are few, and a short text has many such bins
+            held = F.filter(F.transform(v, lambda x, j: F.when(x.isNotNull(), F.struct(j.alias("j"), x.alias("x")))), lambda s: s.isNotNull())
 
-            return F.transform(v, lambda x, i: F.coalesce(x, *[F.get(v, F.get(d, i)) for d in donors], last_way(i)))
+            def from_held(few: Column) -> Column:
+                def last_way(i: Column) -> Column:
+                    return F.array_min(F.transform(few, lambda s: F.struct(F.xxhash64(i, s.j).alias("r"), s.x.alias("x")))).x
+
+                return F.transform(v, lambda x, i: F.coalesce(x, *[F.get(v, F.get(d, i)) for d in donors], last_way(i)))
+
+            return let(held, from_held)
 
         return let(filled, fill)
 

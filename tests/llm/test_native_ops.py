@@ -264,6 +264,22 @@ def test_fingerprints_are_those_of_the_plain_version(spark, texts):
         assert got[i].near_next == pytest.approx(1.0 if a == b == "" else 0.0 if not (a and b) else max(0.0, (same - 1 / 16) / (15 / 16)))
 
 
+def allocated(spark, df):
+    """MB that the JVM's live threads allocate while a frame is made."""
+    threads = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getThreadMXBean()
+    held = lambda: {i: threads.getThreadAllocatedBytes(i) for i in threads.getAllThreadIds()}
+    before, _ = held(), df.write.format("noop").mode("overwrite").save()
+    return sum(n - before.get(i, 0) for i, n in held().items()) / 1e6
+
+
+def test_fingerprints_of_short_texts_leave_little_garbage(spark):
+    """Most bins of a short text are empty, and those of their donors too: only its few filled bins are ranked then."""
+    r = random.Random(8)
+    made = docs(spark, [" ".join(str(r.randrange(10**6)) for _ in range(14)) for _ in range(400)]).coalesce(1).select(fingerprint.fingerprint(F.col("text")).alias("fp"))
+    allocated(spark, made)  # classes are loaded and code is made
+    assert allocated(spark, made) / 400 < 4  # MB a text; ranking all 256 bins for each empty one took 15
+
+
 def test_likeness_is_unbiased(spark):
     r = random.Random(9)
     base = [f"w{r.random()}" for _ in range(1500)]
