@@ -28,18 +28,25 @@ def hotspots(centres: DataFrame, points: DataFrame, dist: DataFrame, radius: flo
 
     ``points`` has (uid, x, y, certainty), ``dist`` (uid, year, dist) stays long: wide years are made only at sinks. A point
     carries its years as one array to the tiles it can be near to, where windows.in_windows counts and takes medians: no row is
-    made for a pair. Rows of one cid at several places are one window, with a point as often as places are near to it; only
-    these are joined pair by pair.
+    made for a pair. Rows of one cid are one window, with a point as often as rows are near to it: at one place they are looked
+    up once; only those of a cid at several places are joined pair by pair.
     """
     good = placed(points.where("certainty = 'good'").select(uid, "x", "y"))
     years = dist.where("dist is not null").groupBy(uid).agg(F.collect_list(F.struct("year", "dist")).alias("_years"))
     dated = good.join(years, uid, "left").select("x", "y", "_years")
-    c = placed(centres).select("cid", "x", "y", F.count("*").over(Window.partitionBy("cid")).alias("_places"))
-    pairs = within(c.where("_places > 1"), dated, radius, ["cid"]).select("cid", "_years")
+    own = Window.partitionBy("cid")
+    alike = lambda v: F.min(v).over(own) == F.max(v).over(own)
+    c = placed(centres).select("cid", "x", "y", F.count("*").over(own).alias("_times"), (alike("x") & alike("y")).alias("_one"), F.row_number().over(own.orderBy("x")).alias("_at"))
+    pairs = within(c.where("not _one"), dated, radius, ["cid"]).select("cid", "_years")
     several = pairs.groupBy("cid").agg(F.count("*").alias("n"), F.flatten(F.collect_list("_years")).alias("_all"))
     of_year = lambda y: F.array_sort(F.transform(F.filter("_all", lambda e: e.year.eqNullSafe(y)), lambda e: e.dist))
     several = several.select("cid", "n", F.transform(F.array_distinct(F.transform("_all", lambda e: e.year)), lambda y: F.struct(y.alias("year"), middle(of_year(y)).alias("dist"))).alias("_years"))
-    found = in_windows(c.where("_places = 1").drop("_places"), dated, radius).unionByName(several)
+    # a row that is repeated counts its points as often; their median stays
+    once = c.where("_one and _at = 1")
+    single = in_windows(once.select("cid", "x", "y"), dated, radius)
+    times = once.where("_times > 1").select(F.col("cid").alias("_cid"), "_times")
+    single = single.join(times, F.col("cid").eqNullSafe(F.col("_cid")), "left").select("cid", (F.col("n") * F.coalesce("_times", F.lit(1))).alias("n"), "_years")
+    found = single.unionByName(several)
     by_year = found.select("cid", "n", F.explode_outer("_years").alias("_y")).select("cid", "n", F.col("_y").isNotNull().alias("_some"), F.col("_y.year").alias("year"), F.bround("_y.dist", 2).alias("dist"))
     medians = by_year.where("_some").select("cid", "year", "dist")
     *trend, n_reg = regression("dist", "year")

@@ -109,3 +109,17 @@ def test_window_medians_shuffle_no_pairs(spark):
     assert continental.hotspots(c.where("false"), p, d, 50.0)[1].count() == 0
     assert continental.hotspots(c, p.where("false"), d, 50.0)[1].count() == 0
     assert continental.hotspots(c, p, d.where("false"), 50.0)[1].count() == 0
+
+
+def test_repeated_centres_shuffle_no_pairs(spark):
+    """A centre's row that is repeated as it is counts its points as often, with the same medians; a null cid is one too."""
+    r = random.Random(12)
+    once = [(None if i == 7 else i, r.uniform(0, 100), r.uniform(0, 100)) for i in range(20)]
+    centres = [c for i, c in enumerate(once) for _ in range(1 + i % 10 * 5)]
+    points = [(r.uniform(0, 100), r.uniform(0, 100), {y: r.uniform(-50, 50) for y in range(2000, 2006)}) for _ in range(1200)]
+    f = frames(spark, centres, points)
+    stats, mb = shuffled(spark, continental.hotspots(*f, 50.0)[0])
+    n, medians = by_pairs(centres, points, 50.0)
+    assert len(stats) == len(centres) and {k.cid: k.n for k in stats} == {c: n.get(c, 0) for c, _, _ in once if c is not None} | {None: 0}
+    same(continental.hotspots(*f, 50.0)[1].collect(), medians)
+    assert mb < 1.5
