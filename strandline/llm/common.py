@@ -58,11 +58,23 @@ def few(spark: SparkSession) -> int:
     return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
 
 
+#: Options of scratch tables, to write and to read them. Hadoop's checked local file system makes two files for one, and without
+#: its native library starts a child process for each; the raw one makes one, and Parquet's page checksums are verified instead.
+#: Other file systems than the local one stay as they are.
+SCRATCH = {
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+    "fs.file.impl.disable.cache": "true",
+    "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",
+    "parquet.page.write-checksum.enabled": "true",
+    "parquet.page.verify-checksum.enabled": "true",
+}
+
+
 def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """df as a Parquet table in the shared folder: it cuts the lineage and survives lost executors. At most ``files`` files."""
     path = scratch(df.sparkSession, name)
-    (df.coalesce(files) if files else df).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.coalesce(files) if files else df).write.options(**SCRATCH).parquet(path)
+    return df.sparkSession.read.options(**SCRATCH).schema(df.schema).parquet(path)
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.common import BLANKS, ascii_lower, delete, dropped, joined_to_one, scratch, written
+from strandline.llm.common import BLANKS, SCRATCH, ascii_lower, delete, dropped, few, joined_to_one, scratch, written
 
 
 def lines_of(text: Column) -> Column:
@@ -75,7 +75,8 @@ class LineRuns:
     def _write(self, rows: DataFrame, level: int) -> None:
         self.made += 1
         name = f"{self.name}_{self.made}"
-        rows.repartition(self.buckets, "h1").coalesce(self.buckets).write.bucketBy(self.buckets, "h1").sortBy("h1", "h2").option("path", f"{self.path}/run-{self.made}").format("parquet").saveAsTable(name)
+        out = rows.repartition(self.buckets, "h1").coalesce(self.buckets).write.options(**({} if self.kept else SCRATCH))
+        out.bucketBy(self.buckets, "h1").sortBy("h1", "h2").option("path", f"{self.path}/run-{self.made}").format("parquet").saveAsTable(name)
         self._place(name, level)
 
     def _drop(self, names: list[str]) -> None:
@@ -150,11 +151,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     keys = F.array_distinct(F.transform(F.filter(F.transform(F.filter(lines_of(F.col("text")), lambda x: F.length(x) >= min_chars), line_key), lambda x: F.length(x) >= min_chars), key_hash))
     batch = F.when(F.col("doc_id").isNull(), F.lit(batches)).otherwise(F.floor((F.lit(hi) - F.col("doc_id")) / width)).cast("int")
     rows = docs.select("doc_id", batch.alias("batch"), F.explode(keys).alias("k")).select("doc_id", "batch", "k.h1", "k.h2")
-    held = written(rows.sortWithinPartitions("batch"), "line-keys")  # a batch skips the row groups of others
+    files = few(spark)
+    held = written(rows.coalesce(files).sortWithinPartitions("batch"), "line-keys")  # a batch skips the row groups of others
     again = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_id"))
     if not again.isEmpty():  # a document counts once, in however many rows it holds a key
         mark = held.join(again, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-        once = written(mark.where("_id is null and doc_id is not null").drop("_id").unionByName(mark.where("_id is not null or doc_id is null").drop("_id").distinct()).sortWithinPartitions("batch"), "line-keys")
+        once = written(mark.where("_id is null and doc_id is not null").drop("_id").unionByName(mark.where("_id is not null or doc_id is null").drop("_id").distinct()).coalesce(files).sortWithinPartitions("batch"), "line-keys")
         dropped(held)
         held = once
     runs = LineRuns(spark, fanout, path=store)

@@ -6,13 +6,14 @@ import re
 import struct
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from strandline.llm import fingerprint, line_dedup, sharding, simhash
-from strandline.llm.common import components, id_block, joined_to_one
+from strandline.llm.common import components, id_block, joined_to_one, written
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, fp string, b long"
 
@@ -49,6 +50,32 @@ def test_line_dedup(spark, texts):
         assert got == want
 
 
+def names(path):
+    return {x.name for x in Path(path.removeprefix("file:")).rglob("*") if x.is_file()}
+
+
+def test_scratch_tables_have_a_file_a_task_and_tell_damage(spark, tmp_path):
+    df = written(spark.range(4000).repartition(3), "test")
+    path = "/" + df.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0].lstrip("/")
+    assert len(names(path)) == 3 and all(x.startswith("part-") for x in names(path))  # Hadoop's checksum files were as many again
+    assert df.agg(F.count("*"), F.sum("id")).first() == (4000, 4000 * 3999 // 2)
+
+    keys = spark.range(500).select(F.col("id").alias("h1"), F.col("id").alias("h2"), F.lit(1).cast("long").alias("n_docs"), F.col("id").alias("keeper"))
+    for store, checked in ((None, False), (f"{tmp_path}/store", True)):  # what lives on is written as any table
+        runs = line_dedup.LineRuns(spark, path=store)
+        runs.add(keys)
+        assert any(x.endswith(".crc") for x in names("/" + runs.path.removeprefix("file:").lstrip("/"))) == checked
+        assert runs.all_keys().count() == 500
+        runs.close()
+
+    for part in Path(path).iterdir():
+        raw = bytearray(part.read_bytes())
+        raw[len(raw) // 3] ^= 255
+        part.write_bytes(raw)
+    with pytest.raises(Exception, match="(?i)crc|checksum"):
+        df.agg(F.sum("id")).collect()
+
+
 def test_rows_that_share_an_id_are_one_document(spark):
     duckdb = pytest.importorskip("duckdb")
     from strandline.llm.queries import ORACLE_SQL
